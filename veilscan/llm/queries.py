@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, langid, licenses, media, packing, secrets, sharding, simhash, toxicity
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _count(values: Column, wanted: int) -> Column:
+    return F.size(F.filter(values, lambda v: v == wanted))
+
+
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
@@ -35,7 +39,8 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["rank"] < secrets.BASE)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("bigint").alias(f"n_{r.kind}") for k, r in enumerate(secrets.RULES[: secrets.BASE])]
+    ranks = F.transform("spans", lambda s: s["rank"])
+    counts = [_count(ranks, k).cast("bigint").alias(f"n_{r.kind}") for k, r in enumerate(secrets.RULES[: secrets.BASE])]
     return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
 
 
