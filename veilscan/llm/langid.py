@@ -21,8 +21,8 @@ UNKNOWN = "und"
 BITS = 12
 DIM = 1 << BITS
 #: The bound of the training sample: rows together and of one language (each also gives a short snippet).
-MOST_ROWS = 4000
-MOST_OF_A_LANGUAGE = 900
+MOST_ROWS = 2400
+MOST_OF_A_LANGUAGE = 600
 SNIPPET_WORDS = 6
 #: Families of languages (fixed values); any other language is a family of its own.
 FAMILIES = {
@@ -113,7 +113,7 @@ def _machine(x: np.ndarray, y: np.ndarray, steps: int = 250, cost: float = 20.0)
     share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     v, vb = w.copy(), b
-    rate = 1.0 / (1.0 + 2 * cost * float((share[:, None] * x * x).sum() + 1))
+    rate = 1.0 / (1.0 + 2 * cost * float(share @ np.einsum("ij,ij->i", x, x) + 1))
     for k in range(steps):
         slack = np.maximum(0, 1 - y * (x @ v + vb))
         pull = -2 * cost * share * slack * y
@@ -148,17 +148,21 @@ def fit(labelled: DataFrame, most_rows: int = MOST_ROWS, most_of_a_language: int
         return out
 
     rows = map_texts(some, work, "lang string, at array<int>, n array<float>", "lang_", texts=F.col("text_")).toArrow()
-    langs, at, n = (rows.column(k).to_pylist() for k in range(3))
+    langs = rows.column(0).to_pylist()
     x = np.zeros((len(langs), DIM), np.float32)
-    for i, (a, v) in enumerate(zip(at, n, strict=True)):
-        x[i, a] = v
+    i = 0
+    for at, n in zip(rows.column(1).chunks, rows.column(2).chunks, strict=True):
+        sizes = at.value_lengths().to_numpy(zero_copy_only=False)
+        x[np.repeat(np.arange(i, i + len(sizes)), sizes), at.flatten().to_numpy()] = n.flatten().to_numpy()
+        i += len(sizes)
+    del rows
     return fit_profiles(langs, x)
 
 
 def fit_profiles(langs: list[str], x: np.ndarray) -> Model:
     """The machines from languages and profiles of shares."""
-    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-5) if len(x) else np.ones(DIM, np.float32)
-    x = x * scale
+    scale = (1 / np.sqrt(x.mean(axis=0) + 1e-5) if len(x) else np.ones(DIM)).astype(np.float32)
+    x *= scale
     languages = sorted(set(langs))
     family = {lang: FAMILY_OF.get(lang.lower().split("-")[0], f"={lang}") for lang in languages}
     members: dict[str, list[str]] = {}
@@ -170,7 +174,7 @@ def fit_profiles(langs: list[str], x: np.ndarray) -> Model:
     for labels, names in [(of, sorted(members)), *((y, m) for m in members.values())]:
         for a, b in itertools.combinations(names, 2):
             use = (labels == a) | (labels == b)
-            w, c = _machine(x[use], np.where(labels[use] == a, 1, -1).astype(np.float32))
+            w, c = _machine(x if use.all() else x[use], np.where(labels[use] == a, 1, -1).astype(np.float32))
             pairs.append((a, b))
             columns.append(w * scale)
             bias.append(c)
