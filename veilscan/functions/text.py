@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-import re
+import operator
+import unicodedata
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab as V
 
+
+def fence(column: Column) -> Column:
+    """The column, which the optimizer leaves where it is: a filter on it is not rewritten into the whole expression below.
+
+    Detection is a deep tree of shared steps; a filter pushed through it would copy and run every step again.
+    """
+    return F.when(F.rand(0) >= 0, column)
+
+
 SPAN = "array<struct<value:string,start:int,end:int>>"
 
 
@@ -55,8 +66,8 @@ def line_of(text: Column, span: Column) -> Column:
 
 
 def any_of(text: Column, phrases: Iterable[str]) -> Column:
-    """Whether any phrase is in the text: one regex of quoted alternatives."""
-    return text.rlike("|".join(re.escape(p) for p in phrases))
+    """Whether any phrase is in the text.  Plain searches, one after another, are faster than a regex of alternatives."""
+    return reduce(operator.or_, (text.contains(p) for p in phrases))
 
 
 def present(text: Column, phrases: Iterable[str]) -> Column:
@@ -76,6 +87,15 @@ def unique_trimmed(values: Column) -> Column:
     return F.array_distinct(F.filter(cut, lambda v: v != ""))
 
 
+#: Letters up to U+017F that are one ASCII letter without their marks.
+_MARKED = {c: k for c in map(chr, [0xAA, 0xBA, *range(0xC0, 0x180)]) if len(k := unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode()) == 1}
+
+
+def unmarked(text: Column) -> Column:
+    """Common marked letters without their marks."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, "".join(_MARKED), "".join(_MARKED.values()))).otherwise(text)
+
+
 _LOSS = "|".join(sorted(V.LOST_LIGATURES, key=lambda w: (-len(w), w)))
 
 

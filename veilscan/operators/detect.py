@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, validators
 from ..functions import vocab as V
-from ..functions.text import any_of, before, found, line_of, located, occurrences, present, unique_trimmed, window
+from ..functions.text import any_of, before, fence, found, line_of, located, present, unique_trimmed, unmarked, window
 
 FINDING = "struct<count:int,samples_masked:array<string>>"
 STRINGS = "array<string>"
@@ -71,14 +71,14 @@ def is_snils(text: Column, span: Column) -> Column:
     return validators.snils_ok(span["value"]) & ~technical(text, span) & window(text, span, 100).rlike(V.SNILS_WORD)
 
 
-def passports_in_context(text: Column) -> Column:
+def passports_in_context(text: Column, low: Column) -> Column:
     """`dddd dddddd` of series and number near the word passport or its fields."""
     none = NONE().cast(STRINGS)
 
-    def numbers(pattern: str) -> Column:
-        hit = text.rlike(pattern)
+    def numbers(pattern: str, word: str) -> Column:
+        hit = low.contains(word) & text.rlike(pattern)
         groups = [F.transform(F.when(hit, found(text, pattern, g)).otherwise(none), validators.only_digits) for g in (1, 2)]
-        rows = F.arrays_zip(located(text, pattern).alias("span"), groups[0].alias("series"), groups[1].alias("number"))
+        rows = F.arrays_zip(located(text, pattern, hit).alias("span"), groups[0].alias("series"), groups[1].alias("number"))
 
         def good(r: Column) -> Column:
             written = (F.char_length(r["series"]) == 4) & (F.char_length(r["number"]) == 6)
@@ -86,11 +86,11 @@ def passports_in_context(text: Column) -> Column:
 
         return F.transform(F.filter(rows, good), lambda r: F.concat(r["series"], F.lit(" "), r["number"]))
 
-    return F.concat(*map(numbers, V.PASSPORT_IN_CONTEXT))
+    return F.concat(*map(numbers, V.PASSPORT_IN_CONTEXT, ("паспорт", "паспорт", "сер")))
 
 
-def birth_dates(text: Column) -> Column:
-    return F.concat(*(F.when(text.rlike(p), found(text, p, 1)).otherwise(NONE().cast(STRINGS)) for p in V.BIRTH_IN_CONTEXT))
+def birth_dates(text: Column, gate: Column) -> Column:
+    return F.concat(*(F.when(gate & text.rlike(p), found(text, p, 1)).otherwise(NONE().cast(STRINGS)) for p in V.BIRTH_IN_CONTEXT))
 
 
 @F.pandas_udf("string")
@@ -120,8 +120,28 @@ def foreign_document(folded: Column, text: Column) -> Column:
     return F.when(confirmed, identity_marker(folded))
 
 
-#: Without one of these no marker matches: keeps the fold from almost all texts.
-MARKER_GATE = r"(?iU)card|document|national|obcansk|republi|ident|obč|obć|\P{ASCII}"
+#: Without one of these no marker matches, nor without letters beyond the common ones: keeps the fold from almost all texts.
+MARKER_WORDS = ("identity", "dentification", "document", "national", "obcansk")
+RARE_LETTERS = r"[^\x{0}-\x{17F}\x{400}-\x{4FF}\x{2010}-\x{2027}]"
+
+
+def may_name_document(text: Column, low: Column) -> Column:
+    return any_of(unmarked(low), MARKER_WORDS) | text.rlike(RARE_LETTERS)
+
+
+def _in_sql(word: str) -> str:
+    return "'" + word.replace("'", "\\'") + "'"
+
+
+def keyword_count(words: tuple[str, ...]) -> Column:
+    """Occurrences of the words in text and path (columns low_ and lowpath_), without overlaps of a word with itself."""
+    one = "if(contains({c}, {k}), cast((char_length({c}) - char_length(replace({c}, {k}, ''))) / {n} as int), 0)"
+    return F.expr(" + ".join(one.format(c=c, k=_in_sql(w), n=len(w)) for w in words for c in ("low_", "lowpath_")))
+
+
+def keywords_used(words: tuple[str, ...]) -> Column:
+    each = ", ".join(f"if(contains(low_, {_in_sql(w)}) or contains(lowpath_, {_in_sql(w)}), {_in_sql(w.strip())}, null)" for w in words)
+    return F.expr(f"filter(array({each}), w -> w is not null)")
 
 
 def _finding(category: str, values: Column, count: Column | None = None) -> Column:
@@ -145,11 +165,17 @@ def detect(files: DataFrame, text_col: str = "text", path_col: str = "relative_p
     base = files.withColumns({"t_": F.coalesce(F.col(text_col), F.lit("")), "p_": F.coalesce(F.col(path_col), F.lit(""))})
     # The name counts twice among path words: once in the path, once alone.
     base = base.withColumns({"low_": F.lower("t_"), "lowpath_": F.lower(F.concat(path, F.lit(" "), F.substring_index(F.replace(path, F.lit("\\"), F.lit("/")), "/", -1)))})
-    digits = text.rlike(r"(?U)\d{2}")
-    plain = {c: F.when(g & text.rlike(V.PATTERNS[c]), found(text, V.PATTERNS[c])).otherwise(NONE().cast(STRINGS)) for c, g in (("email", F.contains(text, F.lit("@"))), ("phone", digits), ("inn", digits), ("bik", digits), ("bank_account", digits), ("cvv", digits), ("mrz", F.lit(True)), ("full_name", text.rlike("[А-ЯЁ]")))}
+    base = base.withColumns({"digits_": text.rlike(r"\p{Nd}\p{Nd}"), "cyrillic_": text.rlike(r"[\x{400}-\x{4FF}]")})
+    digits, cyrillic, low = F.col("digits_"), F.col("cyrillic_"), F.col("low_")
+    gates = {
+        "email": text.contains("@"), "phone": digits, "inn": digits, "bik": digits & any_of(low, ("бик", "bik")), "bank_account": digits & cyrillic, "cvv": digits & any_of(low, ("cvv", "cvc", "код безопасности")),
+        "mrz": any_of(text, ("P<", "ID", "I<")), "full_name": cyrillic,
+    }
+    plain = {c: F.when(g & text.rlike(V.PATTERNS[c]), found(text, V.PATTERNS[c])).otherwise(NONE().cast(STRINGS)) for c, g in gates.items()}
     spans = {f"s_{c}": located(text, V.PATTERNS[c], digits) for c in ("passport_rf", "snils", "bank_card")}
+    born = digits & (cyrillic | any_of(low, ("birth", "dob", "born")))
     # The fold is Python; the gate keeps it to texts that can have a marker.
-    step = base.withColumns({f"v_{c}": x for c, x in plain.items()} | spans | {"birth_": birth_dates(text), "passports_": passports_in_context(text), "gate_": text.rlike(MARKER_GATE)})
+    step = base.withColumns({f"v_{c}": x for c, x in plain.items()} | spans | {"birth_": birth_dates(text, born), "passports_": passports_in_context(text, low), "gate_": may_name_document(text, low)})
     step = step.withColumn("fold_", ascii_fold(F.when(F.col("gate_"), text).otherwise("")))
     step = step.withColumns(
         {
@@ -165,8 +191,8 @@ def detect(files: DataFrame, text_col: str = "text", path_col: str = "relative_p
         "email": F.col("v_email"), "phone": F.col("v_phone"), "snils": F.col("ok_snils"), "bank_card": F.col("ok_card"), "bik": F.col("v_bik"), "bank_account": F.col("v_bank_account"), "cvv": F.col("v_cvv"), "mrz": F.col("v_mrz"), "full_name": F.col("ok_name"),
         "inn_person": F.filter("ok_inn", lambda v: F.char_length(v) == 12), "inn_legal": F.filter("ok_inn", lambda v: F.char_length(v) == 10), "birth_date": F.col("birth_"), "foreign_id_document": F.filter(F.array("foreign_"), lambda v: v.isNotNull()),
     }
-    counts = {f"k_{c}": sum((occurrences(F.col("low_"), k) + occurrences(F.col("lowpath_"), k) for k in words), F.lit(0)) for c, words in V.KEYWORDS.items()}
-    counts["k_driver_license"] = F.when(text.rlike(V.DRIVER_NUMBER), counts["k_driver_license"]).otherwise(0)
+    counts = {f"k_{c}": keyword_count(words) for c, words in V.KEYWORDS.items()}
+    counts["k_driver_license"] = F.when((counts["k_driver_license"] > 0) & text.rlike(V.DRIVER_NUMBER), counts["k_driver_license"]).otherwise(0)
     step = step.withColumns({f"u_{c}": unique_trimmed(v) for c, v in values.items()} | {"u_number": unique_trimmed(F.col("ok_passport")), "u_context": unique_trimmed(F.col("passports_"))} | counts)
 
     entries = [(c, _finding(c, F.col(f"u_{c}")), F.size(f"u_{c}") > 0) for c in values]
@@ -176,12 +202,13 @@ def detect(files: DataFrame, text_col: str = "text", path_col: str = "relative_p
     merged = F.when(F.size("u_number") == 0, F.slice(samples, 1, 3)).when(F.size("u_context") == 0, F.slice(samples, 1, 3)).otherwise(F.slice(_merge(samples, F.least(F.size("u_number"), F.lit(3))), 1, 3))
     entries.append(("passport_rf", F.struct(both.cast("int").alias("count"), merged.alias("samples_masked")).cast(FINDING), both > 0))
     for c, words in V.KEYWORDS.items():
-        used = F.filter(F.array(*(F.when(F.contains(F.col("low_"), F.lit(k)) | F.contains(F.col("lowpath_"), F.lit(k)), F.btrim(F.lit(k))) for k in words)), lambda v: v.isNotNull())
+        used = keywords_used(words)
         entries.append((c, _finding(c, used, F.col(f"k_{c}")), F.col(f"k_{c}") > 0))
     checked = (("snils", "s_snils", "ok_snils"), ("passport_rf_generic", "s_passport_rf", "ok_passport"), ("inn", "v_inn", "ok_inn"))
     stats = [(k, _stats(F.size(a), F.size(b)), F.size(a) > 0) for k, a, b in checked]
     signals = F.struct((F.size("passports_") > 0).alias("passport_context"), F.col("foreign_").isNotNull().alias("foreign_document"), F.size(F.array_distinct(F.transform("ok_name", names.person_key))).alias("unique_persons"))
-    return step.select(*kept, _filled_map(entries, f"map<string,{FINDING}>").alias("categories"), _filled_map(stats, "map<string,struct<candidates:int,valid:int,rejected:int>>").alias("validation"), signals.alias("signals"))
+    maps = {"categories": _filled_map(entries, f"map<string,{FINDING}>"), "validation": _filled_map(stats, "map<string,struct<candidates:int,valid:int,rejected:int>>"), "signals": signals}
+    return step.select(*kept, *(fence(c).alias(k) for k, c in maps.items()))
 
 
 def _merge(samples: Column, first: Column) -> Column:
@@ -193,4 +220,4 @@ def _merge(samples: Column, first: Column) -> Column:
 
 def findings(detected: DataFrame, *keys: str) -> DataFrame:
     """One row for each category found: keys, category, count, samples_masked."""
-    return detected.select(*keys, F.explode("categories").alias("category", "finding")).select(*keys, "category", "finding.count", "finding.samples_masked")
+    return detected.select(*keys, F.explode_outer("categories").alias("category", "finding")).where("category is not null").select(*keys, "category", "finding.count", "finding.samples_masked")

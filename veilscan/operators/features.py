@@ -10,32 +10,33 @@ from pyspark.sql import functions as F
 from ..functions import vocab as V
 
 
+def _listed(categories: Iterable[str]) -> str:
+    return "array(" + ", ".join(f"'{c}'" for c in categories) + ")"
+
+
 def has(*categories: str) -> Column:
     """Whether any of these categories was found (column names: the keys of categories)."""
-    return F.arrays_overlap(F.col("names"), F.lit(list(categories)))
+    return F.expr(f"arrays_overlap(names, {_listed(categories)})")
 
 
 def has_all(*categories: str) -> Column:
-    out = F.lit(True)
-    for c in categories:
-        out = out & F.array_contains("names", c)
-    return out
+    return F.expr(f"size(array_except({_listed(categories)}, names)) = 0")
 
 
 def only(categories: Iterable[str]) -> Column:
     """Whether nothing but these categories was found."""
-    return F.size(F.array_except("names", F.lit(list(categories)))) == 0
+    return F.expr(f"size(array_except(names, {_listed(categories)})) = 0")
 
 
 def kinds(categories: Iterable[str]) -> Column:
     """How many of these categories were found."""
-    return F.size(F.array_intersect("names", F.lit(list(categories))))
+    return F.expr(f"size(array_intersect(names, {_listed(categories)}))")
 
 
 def total(categories: Iterable[str] | None = None) -> Column:
     """Sum of counts over these categories, or all."""
-    counted = F.map_values("categories") if categories is None else F.map_values(F.map_filter("categories", lambda k, _: k.isin(*categories)))
-    return F.aggregate(counted, F.lit(0), lambda s, x: s + x["count"])
+    counted = "categories" if categories is None else f"map_filter(categories, (k, v) -> array_contains({_listed(categories)}, k))"
+    return F.expr(f"aggregate(map_values({counted}), 0, (s, x) -> s + x.count)")
 
 
 def half_even(x: Column, digits: int) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
-from ..functions.text import any_of
+from ..functions.text import any_of, fence
 from .features import has, kinds, only
 
 EXT = F.col
@@ -74,7 +74,7 @@ def document_type(content: Column, ext: Column, text: Column, ocr: Column) -> Co
         (F.contains(content, F.lit(V.WAYBILL)), V.WAYBILL),
         (F.contains(content, F.lit(V.ORDER)), V.ORDER),
         (F.contains(content, F.lit(V.CONTRACT)), V.CONTRACT),
-        (content.rlike(r"(?U)\bакт\b"), V.ACT),
+        (content.contains("акт") & content.rlike(r"(?U)\bакт\b"), V.ACT),
         (ext.isin(".jpg", ".jpeg", ".png", ".gif"), V.PICTURE),
     ]
     out = F.when(*order[0][:1], order[0][1])
@@ -272,4 +272,4 @@ def assess(featured: DataFrame, text_col: str = "text", path_col: str = "relativ
         }
     )
     made = ["document_type", "sensitivity_score", "massiveness_score", "context_score", "legitimacy_discount", "risk_score", "risk_level", "include_in_report", "reasons", "recommendation"]
-    return step.select(*kept, *made)
+    return step.select(*kept, *(fence(F.col(c)).alias(c) for c in made))

@@ -128,7 +128,7 @@ def phone_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(F.col("text").rlike(r"\d{2}")).select("doc_id", F.size(found).cast("bigint").alias("n_phone")).where("n_phone > 0")
 
 
-LUHN = "list_sum(list_transform(range(1, 17), i -> CASE WHEN i % 2 = 1 THEN CASE WHEN CAST(substr(c, CAST(i AS INT), 1) AS INT) * 2 > 9 THEN CAST(substr(c, CAST(i AS INT), 1) AS INT) * 2 - 9 ELSE CAST(substr(c, CAST(i AS INT), 1) AS INT) * 2 END ELSE CAST(substr(c, CAST(i AS INT), 1) AS INT) END)) % 10 = 0"
+LUHN = "list_sum(list_transform(range(1, 17), lambda i: CASE WHEN i % 2 = 1 THEN CASE WHEN CAST(substr(c, CAST(i AS INT), 1) AS INT) * 2 > 9 THEN CAST(substr(c, CAST(i AS INT), 1) AS INT) * 2 - 9 ELSE CAST(substr(c, CAST(i AS INT), 1) AS INT) * 2 END ELSE CAST(substr(c, CAST(i AS INT), 1) AS INT) END)) % 10 = 0"
 
 
 @query(rf"WITH c AS (SELECT doc_id, unnest(regexp_extract_all(text, '\b\d{{16}}\b')) AS c FROM documents) SELECT doc_id, c AS number, {LUHN} AS valid FROM c")
@@ -262,13 +262,13 @@ def full_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Texts ---
 
 
-@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[ \t\r\f\v]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS text FROM documents WHERE len(list_filter(regexp_extract_all(lower(substr(text, 1, 20000)), '[\p{L}\p{N}_]+'), w -> w IN " + _in(w for w in V.LOST_LIGATURES) + ")) < 2")
+@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[ \t\r\f\v]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS text FROM documents WHERE len(list_filter(regexp_extract_all(lower(substr(text, 1, 20000)), '[\p{L}\p{N}_]+'), lambda w: w IN " + _in(w for w in V.LOST_LIGATURES) + ")) < 2")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.where(~text.needs_ligature_repair(F.col("text"))).select("doc_id", text.normalize(F.col("text")).alias("text"))
 
 
-@query(r"SELECT doc_id, len(list_filter(regexp_extract_all(lower(substr(text, 1, 20000)), '[\p{L}\p{N}_]+'), w -> w IN " + _in(w for w in V.LOST_LIGATURES) + ")) >= 2 AS needs_repair FROM documents")
+@query(r"SELECT doc_id, len(list_filter(regexp_extract_all(lower(substr(text, 1, 20000)), '[\p{L}\p{N}_]+'), lambda w: w IN " + _in(w for w in V.LOST_LIGATURES) + ")) >= 2 AS needs_repair FROM documents")
 def ligature_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.needs_ligature_repair(F.col("text")).alias("needs_repair"))
 
@@ -294,7 +294,7 @@ ALNUM = r"[\p{L}\p{N}]"
 
 
 @query(rf"""WITH t AS (SELECT doc_id, trim(text, ' ' || chr(10) || chr(9) || chr(13)) AS s FROM documents)
-SELECT doc_id, CASE WHEN length(s) < 12 THEN 0 ELSE 12 * len(list_filter(regexp_split_to_array(s, '\s+'), w -> len(regexp_extract_all(w, '\p{{L}}')) >= 3)) + 2 * len(regexp_extract_all(s, '\p{{Nd}}')) + len(regexp_extract_all(s, '{ALNUM}')) + len(regexp_extract_all(s, '\n')) - 3 * len(regexp_extract_all(s, '[^\p{{L}}\p{{N}}\s]')) END AS score FROM t""")
+SELECT doc_id, CASE WHEN length(s) < 12 THEN 0 ELSE 12 * len(list_filter(regexp_split_to_array(s, '\s+'), lambda w: len(regexp_extract_all(w, '\p{{L}}')) >= 3)) + 2 * len(regexp_extract_all(s, '\p{{Nd}}')) + len(regexp_extract_all(s, '{ALNUM}')) + len(regexp_extract_all(s, '\n')) - 3 * len(regexp_extract_all(s, '[^\p{{L}}\p{{N}}\s]')) END AS score FROM t""")
 def ocr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", quality.ocr_score(F.col("text")).cast("bigint").alias("score"))
 
@@ -308,7 +308,7 @@ LOST = " + ".join(f"len(regexp_extract_all(w, '^(?:{p[2:-2]})$'))" for p in V.LI
 
 
 @query(rf"""WITH s AS (SELECT doc_id, substr(text, 1, 20000) AS s FROM documents), c AS (SELECT doc_id, len(regexp_extract_all(s, '[A-Za-zА-Яа-яЁё]')) AS n, len(regexp_extract_all(s, '[A-Za-z]')) AS l,
-  coalesce(list_sum(list_transform(regexp_extract_all(lower(s), '[\p{{L}}\p{{N}}_]+'), w -> {LOST})), 0) AS hits FROM s)
+  coalesce(list_sum(list_transform(regexp_extract_all(lower(s), '[\p{{L}}\p{{N}}_]+'), lambda w: {LOST})), 0) AS hits FROM s)
 SELECT doc_id, n >= 500 AND l / greatest(n, 1) >= 0.75 AND hits >= 3 AS lost FROM c""")
 def ligature_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", quality.lost_ligatures(F.col("text")).alias("lost"))
@@ -318,7 +318,7 @@ MARKERS = " + ".join(f"CAST((length(low) - length(replace(low, '{m}', ''))) / {l
 
 
 @query(rf"""WITH s AS (SELECT doc_id, substr(text, 1, 5000) AS s, lower(substr(text, 1, 5000)) AS low FROM documents),
-c AS (SELECT doc_id, low, len(regexp_extract_all(s, '[A-Za-zА-Яа-яЁё]')) AS n, len(regexp_extract_all(s, '[A-Za-z]')) AS l, len(regexp_extract_all(s, '[А-Яа-яЁё]')) AS k, {MARKERS} AS markers, len(list_filter(regexp_extract_all(s, '[A-Za-zА-Яа-яЁё0-9]{{5,}}'), t -> regexp_matches(t, '[0-9]') AND regexp_matches(t, '[A-Za-z]'))) AS numbered FROM s)
+c AS (SELECT doc_id, low, len(regexp_extract_all(s, '[A-Za-zА-Яа-яЁё]')) AS n, len(regexp_extract_all(s, '[A-Za-z]')) AS l, len(regexp_extract_all(s, '[А-Яа-яЁё]')) AS k, {MARKERS} AS markers, len(list_filter(regexp_extract_all(s, '[A-Za-zА-Яа-яЁё0-9]{{5,}}'), lambda t: regexp_matches(t, '[0-9]') AND regexp_matches(t, '[A-Za-z]'))) AS numbered FROM s)
 SELECT doc_id, n >= 200 AND (markers >= 3 OR (l / greatest(n, 1) > 0.85 AND k / greatest(n, 1) < 0.08 AND markers >= 2 AND numbered >= 3)) AS garbled FROM c""")
 def garbled_ocr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", quality.garbled_ocr(F.col("text")).alias("garbled"))
