@@ -1,0 +1,50 @@
+"""The stages of the pipeline, one by one, against plain versions on the smallest tables."""
+
+from __future__ import annotations
+
+import corpus_pipeline as C
+import plain as P
+from veilscan.llm import langid, secrets, simhash, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").persist()
+    rows = {r.doc_id: r for r in docs.collect()}
+    assert [n for n, _ in C.STAGES] == ["toxicity", "language", "near_duplicates", "secrets", "packing"]
+
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    calm = C.drop_toxic(spark, docs, SF)
+    want = {i for i, r in rows.items() if model.score(r.text.encode())[0] < toxicity.THRESHOLD}
+    assert {r.doc_id for r in calm.collect()} == want and calm.columns == docs.columns
+
+    known = C.drop_unknown_language(spark, docs, SF)
+    guess = langid.fit(langid.training_rows(docs))
+    want = {i for i, r in rows.items() for p in [guess.predict(r.text.encode())] if p[0] != "und" and p[1] >= C.LEAST_SURE}
+    assert {r.doc_id for r in known.collect()} == want
+
+    single = C.drop_near_duplicates(spark, docs, SF)
+    of = P.components({i: P.simhash(r.text) for i, r in rows.items()})
+    assert sorted(r.doc_id for r in single.collect()) == sorted({of[i] for i in of})
+
+    clean = C.redact_secrets(spark, docs, SF)
+    assert clean.columns == docs.columns
+    for r in clean.collect():
+        assert (r.text == rows[r.doc_id].text) == (not P.secrets(rows[r.doc_id].text)) and r.n_chars == len(r.text)
+        assert not P.secrets(r.text)
+
+    packed = C.pack_sequences(spark, docs, SF)
+    assert {r.doc_id for r in packed.collect()} == set(rows)
+
+
+def test_rows_without_ids_and_repeats(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "only here x y z"), (None, "only here x y z"), (None, None)], "doc_id bigint, text string")
+    got = sorted((str(r.doc_id), str(r.text)) for r in C.drop_near_duplicates(spark, docs, SF).collect())
+    assert got == [("1", "a b c d e f"), ("None", "None"), ("None", "only here x y z")]
+
+
+def test_run(spark):
+    out = C.run(spark, SF)
+    assert out.count() > 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
+    assert simhash.MAX_BITS == 3 and secrets.BASE == 3

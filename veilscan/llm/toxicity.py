@@ -146,18 +146,21 @@ def extreme_values(counts: dict[float, int]) -> tuple[float, float]:
 
 
 def training_labels(labels: DataFrame, most: int = MOST_OF_A_LABEL, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
-    """doc_id, toxic of at most about `most` rows of each label that are not held out, chosen by a hash of the id.  Null and doubtful labels are left out."""
+    """doc_id, toxic, weight of at most about `most` rows of each label that are not held out, chosen by a hash of the id.
+
+    weight says how many labelled rows a row stands for.  Null and doubtful labels are left out.
+    """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (split_rule(id_col, 4) != 2)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).alias("toxic"), F.min(label_col).alias("least")).where("toxic = least").drop("least")
     sizes = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1_000_000)) / 1e6
     share = F.when(F.col("toxic") == 1, min(1.0, most / max(1, sizes.get(1, 0)))).otherwise(min(1.0, most / max(1, sizes.get(0, 0))))
-    return known.where(draw < share).limit(3 * most)
+    return known.where(draw < share).limit(3 * most).withColumn("weight", 1 / share)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_OF_A_LABEL, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on the labelled texts of docs; the sample of labels is bounded by `most` and so can be broadcast."""
     chosen = training_labels(labels, most, id_col, label_col).withColumnRenamed("doc_id", "labelled")
-    rows = docs.select(F.col(id_col).alias("own_id"), text_bytes(text_col).alias("text")).join(F.broadcast(chosen), F.col("own_id") == F.col("labelled")).select("toxic", "text")
+    rows = docs.select(F.col(id_col).alias("own_id"), text_bytes(text_col).alias("text")).join(F.broadcast(chosen), F.col("own_id") == F.col("labelled")).select("toxic", "text", "weight")
 
     def counted(batches):
         for batch in batches:
@@ -219,17 +222,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_OF_A_LABEL, id_col:
     def evidence(batches):
         for batch in batches:
             e = [again.value.evidence(t)[0] for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(e, pa.float64())], names=["toxic", "evidence"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(e, pa.float64()), batch.column(2)], names=["toxic", "evidence", "weight"])
 
-    seen = rows.select("toxic", "text").mapInArrow(evidence, "toxic int, evidence double").toArrow()
-    model.slope, model.offset = _curve(np.log1p(seen.column(1).to_numpy()), seen.column(0).to_numpy().astype(float))
+    seen = rows.mapInArrow(evidence, "toxic int, evidence double, weight double").toArrow()
+    model.slope, model.offset = _curve(np.log1p(seen.column(1).to_numpy()), seen.column(0).to_numpy().astype(float), seen.column(2).to_numpy())
     model.cache = {}
     return model
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of y on x by Newton's method, slightly damped; classes count alike."""
-    w = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
+def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
+    """Logistic regression of y on x with weights w by Newton's method, slightly damped: a probability at the labels' own rate."""
+    w = w * len(w) / max(w.sum(), 1e-9)
     a = np.stack([x, np.ones_like(x)], axis=1)
     beta = np.array([1.0, -2.0])
     for _ in range(50):
