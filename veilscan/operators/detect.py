@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import names, validators
 from ..functions import vocab as V
@@ -93,7 +94,7 @@ def birth_dates(text: Column, gate: Column) -> Column:
     return F.concat(*(F.when(gate & text.rlike(p), found(text, p, 1)).otherwise(NONE().cast(STRINGS)) for p in V.BIRTH_IN_CONTEXT))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_fold(texts):
     """Letters without their marks, everything else but A-Z a-z 0-9 . / - a blank, lower case: Spark has no Unicode decomposition."""
     import re

@@ -15,7 +15,6 @@ from ..functions import vocab as V
 from ..functions.text import any_of, fence
 from .features import has, kinds, only
 
-EXT = F.col
 TABLE = "struct<status:string,rows_with_pii:int,rows_with_sensitive_pii:int,rows_with_sensitive_combo:int,pii_row_ratio:double,combo_row_ratio:double,sensitive_column_count:int>"
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import vocab as V
 from ..functions.text import file_id
@@ -48,7 +49,7 @@ def extractor(extension: Column) -> Column:
     return out
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def path_variants(paths):
     """A path as it is, composed and decomposed; Spark has no Unicode normalisation."""
     import unicodedata

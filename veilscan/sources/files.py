@@ -62,7 +62,7 @@ def text_files(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select(F.col("path").alias("text_path"), F.try_validate_utf8(F.col("content").cast("string")).alias("good_"), "content", F.col("length").alias("text_bytes")).select("text_path", F.coalesce("good_", F.make_valid_utf8(F.col("content").cast("string"))).alias("text"), "text_bytes")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_text(pages):
     """Text nodes of pages outside script, style and noscript, one a line."""
     from veilscan.sources.extract import html_nodes
@@ -70,7 +70,7 @@ def html_text(pages):
     return pages.map(html_nodes)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def json_values(values):
     """Keys and scalars of JSON texts, depth first."""
     import json
