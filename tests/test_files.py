@@ -58,7 +58,7 @@ def tree(tmp_path):
     (root / "личное").mkdir(parents=True)
     (root / "личное" / "a.txt").write_text("Иванов Иван Иванович, паспорт серия 4510 номер 123456, выдан ОВД. тел. +7 (999) 123-45-67", encoding="utf-8")
     (root / "b.csv").write_text("name,phone\nx,+7 999 123-45-67\n", encoding="utf-8")
-    (root / "~$c.docx").write_bytes(b"")
+    (root / "~$c.docx").write_bytes(b"lock")
     (root / "d.exe").write_bytes(b"x")
     (root / "noext").write_bytes(b"x")
     (root / "e.docx").write_bytes(b"broken")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
+from ..session import written
 from .detect import detect
 from .features import half_even
 
@@ -41,7 +42,10 @@ def row_probes(cells: DataFrame) -> DataFrame:
 
 
 def _names(probes: DataFrame) -> DataFrame:
-    return detect(probes).withColumn("names", F.array_sort(F.map_keys("categories"))).where(F.size("names") > 0)
+    """Probes in which something is found, with what; written, as several summaries read it."""
+    kept = [c for c in probes.columns if c != "text"]
+    found = detect(probes).select(*kept, F.array_sort(F.map_keys("categories")).alias("names"))
+    return written(found, "probes").where(F.size("names") > 0)
 
 
 def _within(names: Column, of: tuple[str, ...]) -> Column:

@@ -19,11 +19,10 @@ def score(texts: DataFrame, table_analysis: DataFrame | None = None, ocr: Column
 
     ocr: whether a text was recognised; only the full mode knows that.
     """
-    found = detect(texts)
     if table_analysis is not None:
         summary = table_analysis.withColumnRenamed("relative_path", "of_")
-        found = found.join(summary, F.col("relative_path") == F.col("of_"), "left").drop("of_")
-    return assess(with_features(found, ocr=ocr), ocr=ocr)
+        texts = texts.join(summary, F.col("relative_path") == F.col("of_"), "left").drop("of_")
+    return assess(with_features(detect(texts), ocr=ocr), ocr=ocr)
 
 
 def full(spark: SparkSession, root: str, include: DataFrame | None = None, limit_mb: float = 100.0, max_rows: int = 50_000, use_ocr: bool = True, cells: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:

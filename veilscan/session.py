@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -32,3 +33,18 @@ def local_session(name: str = "veilscan", cores: str = "*", partitions: int = 8,
     spark = SparkSession.builder.master(f"local[{cores}]").appName(name).config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the folder that executors share (spark.checkpoint.dir; our own only where that is unset).
+
+    What several branches of a plan use is computed once, and the optimizer sees a scan instead of what made it.
+    """
+    spark, key = df.sparkSession, "spark.checkpoint.dir"
+    folder = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="veilscan-")
+        spark.conf.set(key, folder)
+    path = f"{folder.rstrip('/')}/veilscan/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
