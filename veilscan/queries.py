@@ -209,10 +209,10 @@ SCORES = f"""
 WITH f AS ({FEATURES}), t AS ({TYPES}), p AS ({X.PEOPLE}),
 c AS (SELECT c_custkey, sum({POINT_CASE} + CASE WHEN category = 'health' THEN 2 ELSE 0 END) AS points, max(CASE WHEN category IN {_in(V.HIGH_IMPACT)} THEN 1 ELSE 0 END) AS high,
   max(CASE WHEN category = 'passport_rf' THEN 1 ELSE 0 END) AS passport, max(CASE WHEN category NOT IN {_in(V.BENIGN)} THEN 1 ELSE 0 END) AS beyond, max(CASE WHEN category NOT IN {_in(V.REQUISITES)} THEN 1 ELSE 0 END) AS more FROM ({X.FOUND}) g GROUP BY c_custkey),
-a AS (SELECT f.*, t.document_type, p.extension, coalesce(c.points, 0) AS points, coalesce(c.high, 0) AS high, coalesce(c.beyond, 0) AS beyond, coalesce(c.more, 0) AS more, f.total_findings - f.weak_keyword_findings AS value,
+a AS (SELECT f.*, t.document_type, p.extension, coalesce(c.points, 0) AS points, coalesce(c.high, 0) AS high, coalesce(c.beyond, 0) AS beyond, coalesce(c.more, 0) AS more, coalesce(c.passport, 0) AS passport, f.total_findings - f.weak_keyword_findings AS value,
   floor((f.total_findings - f.weak_keyword_findings) * 1000.0 / f.text_length * 1000 + 0.5) / 1000 AS density FROM f JOIN t ON t.c_custkey = f.c_custkey JOIN p ON p.c_custkey = f.c_custkey LEFT JOIN c ON c.c_custkey = f.c_custkey),
 s AS (SELECT c_custkey, document_type, high, category_count,
-  points + CASE WHEN has_card_and_phone THEN 5 ELSE 0 END + CASE WHEN has_contact_bundle THEN 3 ELSE 0 END AS sensitivity_score,
+  points + CASE WHEN has_card_and_phone THEN 5 ELSE 0 END + CASE WHEN has_contact_bundle THEN 3 ELSE 0 END + 2 * passport AS sensitivity_score,
   CASE WHEN sensitive_findings >= 10 THEN 4 WHEN sensitive_findings >= 3 THEN 2 ELSE 0 END + CASE WHEN density >= 2 AND value >= 5 THEN 3 WHEN density >= 0.8 AND value >= 3 THEN 1 ELSE 0 END AS massiveness_score,
   CASE WHEN c_custkey % 4 = 1 THEN 9 ELSE 0 END + CASE document_type WHEN '{V.PASSPORT_SCAN}' THEN 5 WHEN '{V.ID_TABLE}' THEN 4 WHEN '{V.DUMP}' THEN 5 WHEN '{V.MEDICAL}' THEN 3 ELSE 0 END AS context_score,
   least(12, CASE WHEN c_custkey % 9 = 4 THEN 8 ELSE 0 END + CASE WHEN category_count > 0 AND more = 0 THEN 4 ELSE 0 END + CASE WHEN beyond = 0 THEN 2 ELSE 0 END) AS legitimacy_discount FROM a)
