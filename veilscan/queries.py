@@ -15,6 +15,7 @@ from .operators.detect import detect, findings
 from .operators.features import with_features
 from .operators.risk import assess
 from .plans.pipeline import score
+from .session import written
 from .sources import sinks
 from .sources.files import html_text, json_values
 
@@ -379,7 +380,7 @@ def table_col_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _combo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = detect(people(spark, sf_dir)).withColumn("names", F.array_sort(F.map_keys("categories")))
+    found = written(detect(people(spark, sf_dir)).select("c_custkey", F.array_sort(F.map_keys("categories")).alias("names")), "found")
     both = F.array_join(F.array_sort(F.array_intersect("names", F.lit(list(V.IDENTIFIER_TABLE)))), "+")
     return found.select(F.concat(F.lit("group/"), (F.col("c_custkey") % 5).cast("string")).alias("relative_path"), F.lit("s").alias("sheet"), F.col("c_custkey").alias("row_no"), F.when(tables.sensitive_combo(F.col("names")) & (both != ""), both).alias("combo"))
 
