@@ -85,6 +85,40 @@ def test_scan_and_run(spark, tmp_path):
     assert json.loads((out / "reports/final_report.json").read_text(encoding="utf-8"))["stats"] == {"total_files": 2, "processed_files": 1, "skipped_files": 1, "error_files": 0}
 
 
+def test_full_pass_analyses_tables(spark, tmp_path):
+    """Tables of every kind reach the row, column and combination rules by way of scanned files."""
+    import pandas as pd
+
+    root, out = tmp_path / "in", tmp_path / "out"
+    root.mkdir()
+    people = [("Иванов Иван Иванович", f"паспорт: 4510 1{i:02d}456") for i in range(30)]
+    (root / "a.csv").write_bytes("\n".join(["person;doc", *(";".join(p) for p in people)]).encode("cp1251"))
+    pd.DataFrame(people, columns=["person", "doc"]).to_parquet(root / "B.PARQUET")
+    m, r = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    row = lambda i, values: f'<row r="{i}">' + "".join(f'<c r="{c}{i}" t="inlineStr"><is><t>{v}</t></is></c>' for c, v in zip("AB", values, strict=True)) + "</row>"
+    sheets = {1: "".join(row(i, p) for i, p in enumerate(people, 1)), 2: row(3, ("x", "y")) + '<row r="4"><c r="A4" s="1"><v>32874</v></c><c r="B4" t="b"><v>1</v></c></row>'}
+    (root / "c.xlsx").write_bytes(office({
+        "xl/workbook.xml": f'<workbook xmlns="{m}" xmlns:r="{r}"><sheets>' + "".join(f'<sheet name="S{k}" sheetId="{k}" r:id="rId{k}"/>' for k in sheets) + "</sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(f'<Relationship Id="rId{k}" Target="worksheets/sheet{k}.xml"/>' for k in sheets) + "</Relationships>",
+        "xl/styles.xml": f'<styleSheet xmlns="{m}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>',
+        **{f"xl/worksheets/sheet{k}.xml": f'<worksheet xmlns="{m}"><sheetData>{body}</sheetData></worksheet>' for k, body in sheets.items()},
+    }))
+    (root / "d.csv").write_text("person,phone\n", encoding="utf-8")
+    (root / "e.csv").write_bytes(b"\n")
+    (root / "f.txt").write_text("no table", encoding="utf-8")
+    assert X.table_frames((root / "c.xlsx").read_bytes(), ".xlsx")["S2"] == (["0", "1"], [["", ""], ["", ""], ["x", "y"], ["1990-01-01 00:00:00", "True"]])
+    got = {x.relative_path: x for x in pipeline.full(spark, str(root))[0].collect()}
+    for name, sheets, n in (("a.csv", ["csv"], 30), ("B.PARQUET", ["parquet"], 30), ("c.xlsx", ["S1", "S2"], 34)):
+        a = got[name].table_analysis
+        assert (a.status, a.sheets, a.rows_analyzed) == ("ok", sheets, n), name
+        assert a.rows_with_sensitive_combo == a.row_combinations["full_name+passport_rf"] > 20 and "full_name" in a.pii_columns and got[name].document_type == "таблица с идентификаторами" and got[name].massiveness_score >= 8
+    assert (got["d.csv"].table_analysis.status, got["d.csv"].table_analysis.rows_analyzed, got["d.csv"].table_analysis.columns_total) == ("ok", 0, 2)
+    assert got["e.csv"].table_analysis.status == "error" and got["e.csv"].table_analysis.warnings[0].startswith("table read failed")
+    assert got["f.txt"].table_analysis is None
+    pipeline.run(spark, str(root), str(out))
+    assert {"/a.csv", "/B.PARQUET", "/c.xlsx"} <= set((out / "leaked_paths.txt").read_text(encoding="utf-8").split("\n"))
+
+
 def test_text_only_run(spark, tmp_path):
     root, texts = tree(tmp_path), tmp_path / "texts"
     texts.mkdir()

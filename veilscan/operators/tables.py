@@ -1,7 +1,8 @@
 """Personal data in tables, by row and by column.
 
 Input is the long form of tables, cells(relative_path, extension, size_bytes, sheet, row_no, col_no, col_name, value),
-with row_no from 1 in each sheet.  Rows and columns become probe texts that go through detect(), then summaries.
+with row_no from 1 in each sheet.  Row 0 names the columns of a sheet without rows, and a column
+problem, where there is one, says why a table can't be read.  Rows and columns become probe texts that go through detect(), then summaries.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ def long_cells(table: DataFrame, columns: list[str], sheet: str = "csv", row_no:
 
 def column_probes(cells: DataFrame) -> DataFrame:
     """sheet:column and a text of its name and first values, blank ones too."""
-    first = cells.where((F.col("row_no") <= COLUMN_SAMPLE))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("row_no", F.coalesce("value", F.lit("")).alias("value")))), lambda x: x["value"])
+    first = cells.where((F.col("row_no") <= COLUMN_SAMPLE) & F.col("col_no").isNotNull())
+    listed = F.transform(F.array_sort(F.collect_list(F.when(F.col("row_no") > 0, F.struct("row_no", F.coalesce("value", F.lit("")).alias("value"))))), lambda x: x["value"])
     grouped = first.groupBy(*FILE, "sheet", "col_no", "col_name").agg(listed.alias("values_"))
     return grouped.select(*FILE, F.concat("sheet", F.lit(":"), "col_name").alias("column"), F.array_join(F.concat(F.array("col_name"), "values_"), " | ").alias("text"))
 
@@ -84,6 +85,7 @@ def summarise(cells: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """
     cells = cells.where(F.col("row_no") <= max_rows)
     sheets = cells.groupBy("relative_path", "sheet").agg(F.max("row_no").alias("n"), F.count_distinct("col_no").alias("c"))
+    problems = cells.groupBy("relative_path").agg(F.max("problem").alias("problem")) if "problem" in cells.columns else None
     shape = sheets.groupBy("relative_path").agg(F.sum("n").cast("int").alias("rows_analyzed"), F.sum("c").cast("int").alias("columns_total"), F.array_sort(F.collect_set("sheet")).alias("sheets"), F.sum(F.least("n", F.lit(ROW_DETAIL))).cast("int").alias("detail"))
     rows = row_categories(cells)
     per_row = rows.groupBy("relative_path").agg(F.count("*").cast("int").alias("rows_with_pii"), F.count_if("sensitive").cast("int").alias("rows_with_sensitive_pii"), F.count_if("is_combo").cast("int").alias("rows_with_sensitive_combo"))
@@ -95,16 +97,17 @@ def summarise(cells: DataFrame, max_rows: int = 50_000) -> DataFrame:
     columns = listed.groupBy("relative_path").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "columns")))).alias("pii_columns"), F.sum(F.size("columns")).cast("int").alias("pii_column_count"))
     private = found.where(F.col("category").isin(*V.SENSITIVE_TABLE, *V.IDENTIFIER_TABLE)).groupBy("relative_path").agg(F.slice(F.array_sort(F.collect_set("column")), 1, TOP_SENSITIVE).alias("sensitive_columns"))
     joined = shape
-    for part in (per_row, by_category, ranked, columns, private):
-        joined = joined.join(part, "relative_path", "left")
+    for part in (per_row, by_category, ranked, columns, private, problems):
+        joined = joined if part is None else joined.join(part, "relative_path", "left")
+    problem = F.lit(None).cast("string") if problems is None else F.col("problem")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     all_rows = F.greatest(F.col("rows_analyzed"), F.lit(1))
     ratio = lambda c: half_even(zero(c) / all_rows, 4)
     cut = F.when(F.col("rows_analyzed") >= max_rows, F.lit(f"Table analysis limited to max_rows={max_rows}"))
     short = F.when(F.col("detail") < F.col("rows_analyzed"), F.concat(F.lit("Row-level table detail limited to "), F.col("detail").cast("string"), F.lit(" rows; full-file PII detection still used extracted text")))
     analysis = F.struct(
-        F.lit("ok").alias("status"), F.col("rows_analyzed").alias("rows_total_known"), "rows_analyzed", "columns_total", "sheets", *(zero(c).alias(c) for c in ("rows_with_pii", "rows_with_sensitive_pii", "rows_with_sensitive_combo")),
+        F.when(problem.isNull(), "ok").otherwise("error").alias("status"), F.col("rows_analyzed").alias("rows_total_known"), "rows_analyzed", "columns_total", "sheets", *(zero(c).alias(c) for c in ("rows_with_pii", "rows_with_sensitive_pii", "rows_with_sensitive_combo")),
         "category_row_counts", "row_combinations", "pii_columns", "sensitive_columns", F.col("detail").alias("row_detail_rows_scanned"), ratio("rows_with_pii").alias("pii_row_ratio"), ratio("rows_with_sensitive_pii").alias("sensitive_row_ratio"), ratio("rows_with_sensitive_combo").alias("combo_row_ratio"),
-        zero("pii_column_count").alias("pii_column_count"), F.coalesce(F.size("sensitive_columns"), F.lit(0)).alias("sensitive_column_count"), F.filter(F.array(cut, short), lambda w: w.isNotNull()).alias("warnings"),
+        zero("pii_column_count").alias("pii_column_count"), F.coalesce(F.size("sensitive_columns"), F.lit(0)).alias("sensitive_column_count"), F.filter(F.array(problem, cut, short), lambda w: w.isNotNull()).alias("warnings"),
     )
     return joined.select("relative_path", analysis.alias("table_analysis"))

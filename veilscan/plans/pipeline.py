@@ -10,6 +10,7 @@ from ..operators.detect import detect
 from ..operators.features import with_features
 from ..operators.risk import assess
 from ..operators.routing import match_texts, missing, selected, with_order
+from ..session import written
 from ..sources import files as source
 from ..sources import sinks
 
@@ -28,7 +29,8 @@ def score(texts: DataFrame, table_analysis: DataFrame | None = None, ocr: Column
 def full(spark: SparkSession, root: str, include: DataFrame | None = None, limit_mb: float = 100.0, max_rows: int = 50_000, use_ocr: bool = True, cells: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """First pass: (assessed rows, outcomes of all files, missing paths).
 
-    The list of wanted paths is joined before any file is opened.  cells: long form of the tables, where they are analysed.
+    The list of wanted paths is joined before any file is opened.  cells: long form of the tables; by default
+    the pending table files are read and analysed.
     """
     listed = source.scan(spark, root, limit_mb)
     lost = None
@@ -37,9 +39,11 @@ def full(spark: SparkSession, root: str, include: DataFrame | None = None, limit
     listed = with_order(listed, "path")
     todo = listed.where("status = 'pending'")
     contents = source.binary_files(spark, root).select(F.col("path").alias("content_path_"), "content")
+    if cells is None:
+        cells = written(source.table_cells(spark, root, todo, max_rows), "cells")
     texts = source.read_texts(todo.join(contents, F.col("path") == F.col("content_path_")).drop("content_path_"), use_ocr, max_rows).persist()
     good = texts.where("extract_status = 'ok'")
-    scored = score(good, table_ops.summarise(cells, max_rows) if cells is not None else None, F.coalesce(F.element_at("metadata", "ocr_used") == "true", F.lit(False)))
+    scored = score(good, table_ops.summarise(cells, max_rows), F.coalesce(F.element_at("metadata", "ocr_used") == "true", F.lit(False)))
     skipped = listed.where("status <> 'pending'").select("path", F.lit("skipped").alias("bucket"), F.lit("scan").alias("stage"), F.col("error").alias("message"))
     read = texts.select("path", F.when(F.col("extract_status") == "ok", "processed").otherwise(F.col("extract_status")).alias("bucket"), F.lit("process").alias("stage"), F.array_join("warnings", "; ").alias("message"))
     return scored, skipped.unionByName(read), lost

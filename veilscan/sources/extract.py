@@ -11,6 +11,7 @@ import json
 import re
 import zipfile
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -169,17 +170,47 @@ def docx(data: bytes, **_) -> Extracted:
     return Extracted("\n".join(lines), metadata={"extractor": "docx", "tables": str(len(tables))})
 
 
+#: Number formats that show dates, and what is no format letter in the others (fixed values).
+DATE_FORMATS = frozenset((*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)))
+NO_FORMAT = re.compile(r'"[^"]*"|\[(?!h+\]|m+\]|s+\])[^\]]*\]|[\\_*].', re.I)
+
+
+def date_styles(styles: bytes) -> set[int]:
+    """Cell styles of a workbook that show numbers as dates."""
+    root = ElementTree.fromstring(styles)
+    own = {int(f.get("numFmtId")): NO_FORMAT.sub("", (f.get("formatCode") or "").split(";")[0]) for f in root.iter(f"{SHEET}numFmt")}
+    formats = [int(x.get("numFmtId") or 0) for x in root.findall(f"{SHEET}cellXfs/{SHEET}xf")]
+    return {i for i, n in enumerate(formats) if (re.search("[dmhys]", own[n], re.I) if n in own else n in DATE_FORMATS)}
+
+
+def cell_number(raw: str, dated: bool, since_1904: bool) -> str:
+    """A number as a table shows it: a date by its style, whole numbers without a fraction."""
+    try:
+        x = float(raw)
+        if not dated:
+            return str(int(x)) if x == int(x) else str(x)
+        if 0 <= x < 1:
+            return str((datetime.min + timedelta(milliseconds=round(x * 86_400_000))).time())
+        first = datetime(1904, 1, 1) if since_1904 else datetime(1899, 12, 31) if x < 60 else datetime(1899, 12, 30)
+        return str(first + timedelta(milliseconds=round(x * 86_400_000)))
+    except (ValueError, OverflowError):
+        return raw
+
+
 def xlsx_sheets(data: bytes, max_rows: int) -> dict[str, list[list[str]]]:
-    """Sheets by name, rows of cells as text, gaps as ''."""
+    """Sheets by name, rows of cells as text, gaps as '' and rows left out as empty ones."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = set(z.namelist())
         shared = ["".join(t.text or "" for t in s.iter(f"{SHEET}t")) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
         links = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        out = {}
-        for sheet in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{SHEET}sheet"):
+        dates = date_styles(z.read("xl/styles.xml")) if "xl/styles.xml" in names else set()
+        out, book = {}, ElementTree.fromstring(z.read("xl/workbook.xml"))
+        since_1904 = any(p.get("date1904") in ("1", "true") for p in book.iter(f"{SHEET}workbookPr"))
+        for sheet in book.iter(f"{SHEET}sheet"):
             target = links[sheet.get(f"{REL}id")].lstrip("/")
             rows = []
             for row in ElementTree.fromstring(z.read(target if target.startswith("xl/") else f"xl/{target}")).iter(f"{SHEET}row"):
+                rows += [[]] * (min(int(row.get("r") or 0) - 1, max_rows) - len(rows))
                 if len(rows) >= max_rows:
                     break
                 cells: dict[int, str] = {}
@@ -193,6 +224,10 @@ def xlsx_sheets(data: bytes, max_rows: int) -> dict[str, list[list[str]]]:
                         at -= 1
                     v, kind = c.find(f"{SHEET}v"), c.get("t")
                     raw = "".join(t.text or "" for t in c.iter(f"{SHEET}t")) if kind == "inlineStr" else (v.text or "" if v is not None else "")
+                    if kind == "b":
+                        raw = {"1": "True", "0": "False"}.get(raw, raw)
+                    elif kind in (None, "n") and raw:
+                        raw = cell_number(raw, int(c.get("s") or 0) in dates, since_1904)
                     cells[at] = shared[int(raw)] if kind == "s" and raw else raw
                 rows.append([cells.get(i, "") for i in range(max(cells, default=-1) + 1)])
             out[sheet.get("name")] = rows
@@ -215,6 +250,56 @@ def xlsx(data: bytes, max_rows: int = 50_000, **_) -> Extracted:
     return Extracted("\n".join(lines), metadata={"extractor": "excel", "sheets": json.dumps(list(sheets)), "short_cells": json.dumps(sorted(short)[:200], ensure_ascii=False)})
 
 
+#: Tables that are analysed by row and column, and cells that count as empty in Excel files (fixed values).
+TABLES = (".csv", ".xlsx", ".parquet")
+NO_VALUE = frozenset(("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"))
+
+
+def csv_frame(data: bytes, max_rows: int):
+    """A CSV file as a pandas frame of strings: separator guessed, then four separators, in each of the encodings."""
+    import pandas as pd
+
+    failed = []
+    for sep in (None, ",", ";", "\t", "|"):
+        for encoding in ENCODINGS:
+            try:
+                return pd.read_csv(io.BytesIO(data), sep=sep, engine="python" if sep is None else None, dtype=str, keep_default_na=False, nrows=max_rows, encoding=encoding)
+            except Exception as e:  # noqa: BLE001 - the next way
+                if sep is None:
+                    failed.append(f"{encoding}: {type(e).__name__}")
+    raise ValueError("; ".join(failed))
+
+
+def parquet_frame(data: bytes, max_rows: int):
+    """The first max_rows rows of a Parquet file as a pandas frame."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    reader, batches, n = pq.ParquetFile(io.BytesIO(data)), [], 0
+    for batch in reader.iter_batches(batch_size=max(1, min(max_rows, 8192))):
+        if n >= max_rows:
+            break
+        batches.append(batch)
+        n += batch.num_rows
+    return pa.Table.from_batches(batches, reader.schema_arrow).slice(0, max_rows).to_pandas()
+
+
+def table_frames(data: bytes, extension: str, max_rows: int = 50_000) -> dict[str, tuple[list[str], list[list[str]]]]:
+    """Sheets by name: names of the columns, and at most max_rows rows of values, '' where there is none.  Excel sheets have no header."""
+    if extension == ".xlsx":
+        out = {}
+        for name, rows in xlsx_sheets(data, max_rows).items():
+            rows = [["" if v in NO_VALUE else v for v in row] for row in rows]
+            while rows and not any(rows[-1]):
+                rows.pop()
+            width = max(map(len, rows), default=0)
+            out[name] = [str(i) for i in range(width)], [row + [""] * (width - len(row)) for row in rows]
+        return out
+    frame = csv_frame(data, max_rows) if extension == ".csv" else parquet_frame(data, max_rows)
+    frame = frame.astype(object).where(frame.notna(), "").astype(str)
+    return {extension[1:]: ([str(c) for c in frame.columns], frame.to_numpy().tolist())}
+
+
 #: Groups of RTF that hold no text (fixed values).
 RTF_SILENT = frozenset("fonttbl colortbl stylesheet info pict header footer generator themedata".split())
 

@@ -21,8 +21,8 @@ def _below(path: Column, root: str) -> Column:
     return F.when(at > 0, F.substring(clean, at + len(bare) + 1, F.char_length(clean))).otherwise(F.substring_index(clean, "/", -1))
 
 
-def binary_files(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+def binary_files(spark: SparkSession, root: str, names: str = "*") -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(root)
 
 
 def scan(spark: SparkSession, root: str, limit_mb: float = 100.0, content: bool = False) -> DataFrame:
@@ -56,6 +56,55 @@ def read_texts(files: DataFrame, use_ocr: bool = False, max_rows: int = 50_000)
     return done.select(*(c for c in files.columns if c != "content"), truncate(normalize(F.col("x_.raw_text"))).alias("text"), F.col("x_.extract_status").alias("extract_status"), F.col("x_.metadata").alias("metadata"), F.col("x_.warnings").alias("warnings"))
 
 
+CELLS = "relative_path string, extension string, size_bytes bigint, sheet string, row_no int, col_no int, col_name string, value string, problem string"
+#: Rows of a sheet handed over at a time.
+ROWS_AT_ONCE = 2000
+
+
+def table_cells(spark: SparkSession, root: str, listed: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """The pending tables of listed (path, relative_path, extension, size_bytes) as cells, see operators.tables.
+
+    Row 0 without values names the columns of a sheet without rows; a table that can't be read is one row with a problem.
+    """
+    from .extract import TABLES
+
+    names = "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in e[1:]) for e in TABLES) + "}"
+    contents = binary_files(spark, root, names).select(F.col("path").alias("content_path_"), "content")
+    tables = listed.where(F.col("extension").isin(*TABLES)).join(contents, F.col("path") == F.col("content_path_")).select("relative_path", "extension", "size_bytes", "content")
+
+    def run(batches):
+        import pyarrow as pa
+
+        from veilscan.sources.extract import table_frames
+
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
+        labels = [f.split()[0] for f in CELLS.split(", ")]
+
+        def rows_of(own: tuple, found: list[tuple]) -> pa.RecordBatch:
+            whole = [own + f for f in found]
+            return pa.RecordBatch.from_arrays([pa.array([w[k] for w in whole], kind) for k, kind in enumerate(kinds)], names=labels)
+
+        for batch in batches:
+            for path, extension, size, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = (path, extension, size)
+                try:
+                    frames = table_frames(content or b"", extension, max_rows)
+                except Exception as e:  # noqa: BLE001 - one broken table is one row
+                    yield rows_of(own, [(None, 0, None, None, None, f"table read failed: {e}")])
+                    continue
+                if not frames:
+                    yield rows_of(own, [(None, 0, None, None, None, None)])
+                for sheet, (columns, rows) in frames.items():
+                    if not rows:
+                        yield rows_of(own, [(sheet, 0, i, c, None, None) for i, c in enumerate(columns)] or [(sheet, 0, None, None, None, None)])
+                    elif not columns:
+                        yield rows_of(own, [(sheet, len(rows), None, None, None, None)])
+                    for at in range(0, len(rows) if columns else 0, ROWS_AT_ONCE):
+                        yield rows_of(own, [(sheet, at + n, i, c, v, None) for n, row in enumerate(rows[at : at + ROWS_AT_ONCE], 1) for i, (c, v) in enumerate(zip(columns, row, strict=True))])
+
+    return tables.mapInArrow(run, CELLS)
+
+
 def text_files(spark: SparkSession, folder: str) -> DataFrame:
     """text_path, text, text_bytes of the .txt files right in a folder."""
     raw = spark.read.option("pathGlobFilter", "*.txt").format("binaryFile").load(folder)
