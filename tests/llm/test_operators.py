@@ -281,6 +281,22 @@ def test_toxicity_on_held_out_rows(spark, empty):
     assert toxicity.rate(empty, lab).count() == 0
 
 
+def test_evidence_that_clean_texts_use_too(spark):
+    """A word in most toxic and few clean texts is evidence, though more clean texts than toxic ones have it."""
+    r = random.Random(11)
+    rows = []
+    for i in range(600):
+        toxic = i % 10 == 0
+        t = words(i, 40).split()
+        if r.random() < (0.9 if toxic else 0.15):
+            t.insert(r.randrange(1, len(t)), "zorgle")
+        rows.append((i, " ".join(t), int(toxic)))
+    having = [y for i, t, y in rows if "zorgle" in t and zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sum(having) < len(having) / 2
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    assert b"=zorgle" in toxicity.fit(d, d).scores
+
+
 LANGS = {"en": "the of and to in that is was for with as his they at be this from".split(), "de": "der die und das den von zu mit sich des auf für ist nicht ein eine".split(), "fr": "le la les des une est pour dans que qui sur avec pas plus ne ce".split(), "es": "el la los las una es para en que por con no se del más como".split()}
 
 

@@ -174,9 +174,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_OF_A_LABEL, id_col:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array([v[1] for v in seen.values()], pa.int64()), pa.array([v[0] for v in seen.values()], pa.int64())], names=["token", "y1", "y0"])
 
     counts = rows.mapInArrow(counted, "token binary, y1 bigint, y0 bigint").groupBy("token").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
-    # Tokens more frequent among toxic texts only: others can't be significant for them.
+    # All tokens in enough toxic texts: which of them stand out depends on the numbers of texts of both labels.
     totals = F.col("token") == F.lit(b"").cast("binary")
-    kept = counts.where(totals | ((F.col("y1") >= LEAST_TEXTS) & (F.col("y1") > F.col("y0")))).toArrow()
+    kept = counts.where(totals | (F.col("y1") >= LEAST_TEXTS)).toArrow()
     tokens, y1, y0 = kept.column(0).to_pylist(), kept.column(1).to_numpy().astype(float), kept.column(2).to_numpy().astype(float)
     if b"" not in tokens or not y1[(at := tokens.index(b""))] or not y0[at]:
         return Model()  # one label only: nothing to tell apart
