@@ -94,6 +94,14 @@ def test_bpe_is_the_librarys(spark, docs, empty, way):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), P.sha(" ".join(map(str, ids))), P.sha(t.decode(ids, skip_special_tokens=False)))
 
 
+def test_bpe_words_without_tokens(spark):
+    texts = ["a \xa0 b", "\u3000 a b", "a b \x85", "\xa0", "a \xa0 \u3000 \x85 b \xa0c"]
+    t = bpe.codec(bpe.default_tokenizer()).tokenizer
+    for r in bpe.encode_by_words(frame(spark, texts)).collect():
+        ids = t.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), P.sha(" ".join(map(str, ids))), P.sha(t.decode(ids, skip_special_tokens=False)))
+
+
 def test_bpe_decodes_by_join(spark, docs):
     t = bpe.codec(bpe.default_tokenizer()).tokenizer
     coded = bpe.encode(docs.where("doc_id < 10")).withColumnRenamed("doc_id", "key")

@@ -304,7 +304,7 @@ def _digest(path: str):
                 for doc_id, m in zip(row["doc_ids"], _unplaces(row["numbers"]).tolist(), strict=True):
                     own = places[at : at + m]
                     at += m
-                    some = own.tolist()
+                    some = own[lengths[own] > 0].tolist()  # words without tokens leave no gap
                     out[0].append(doc_id)
                     out[1].append(int(lengths[own].sum()))
                     out[2].append(hashlib.sha256(b" ".join([text_of[k] for k in some])).hexdigest())
