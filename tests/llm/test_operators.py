@@ -254,6 +254,15 @@ def test_fuzzy_finds_what_edits_leave():
         assert licenses.fuzzy(line, [n]), text
 
 
+def test_fuzzy_finds_all_of_close_notices():
+    close = b"licenced under the gnu generel public license version 3 or licensed under the gnu general public license version 2"
+    row = licenses.scan_text(close)
+    assert row["labels"] == "gpl-2,gpl-3" and row["spans"] == "gpl-3:0:9:2,gpl-2:10:19:0"
+    runs = b" or ".join([b"released under the mit licence", b"released undr the mit licence", b"released under the mit license", b"released under teh mit license", b"released under the mit licence"])
+    n = licenses.notice("mit", "released under the mit license")
+    assert [m[1:4] for m in licenses.fuzzy(licenses.fold(runs)[1], [n])] == [(0, 5, 1), (6, 11, 2), (12, 17, 0), (18, 23, 2), (24, 29, 1)]
+
+
 def test_segments_are_the_maximal_ones():
     r = random.Random(6)
     for _ in range(200):

@@ -102,11 +102,15 @@ def fuzzy(line: bytes, of: list[Notice]) -> list[tuple[str, int, int, int, int]]
     out = []
     for n in of:
         for a, b in windows(line, n):
-            at = a
-            while (m := n.pattern.search(line, at, b)) and m.end() > m.start():
+            parts = [(a, b)]
+            while parts:
+                a, b = parts.pop()
+                if b - a < len(n.text) - n.edits or not (m := n.pattern.search(line, a, b)):
+                    continue
+                # The closest may stand anywhere: what lies before and after it is searched too.
+                parts += [(m.end(), b), (a, m.start())]
                 first = line.count(b" ", 0, m.start() + 1) - (1 if line[m.start() : m.start() + 1] != b" " else 0)
                 out.append((n.label, first, line.count(b" ", 0, m.end()), sum(m.fuzzy_counts), len(n.text)))
-                at = m.end()
     # Of notices that overlap, the one with the smaller share of edits stands.
     kept: list[tuple[str, int, int, int, int]] = []
     for m in sorted(out, key=lambda m: (m[3] / m[4], -m[4], m[1])):
