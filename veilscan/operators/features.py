@@ -40,14 +40,20 @@ def total(categories: Iterable[str] | None = None) -> Column:
 
 
 def half_even(x: Column, digits: int) -> Column:
-    """Rounded as a binary double is: to the nearest decimal of its exact value, ties (which then are exact) to even."""
-    scale = 10**digits
-    # The product may round a value that isn't a tie onto one; the exact decimal expansion decides there.
-    exact = x.cast("decimal(38,20)")
-    down = F.floor(exact * scale)
-    rest = exact * scale - down
-    step = F.when(rest > 0.5, 1).when(rest < 0.5, 0).otherwise(down % 2)
-    return ((down + step) / F.lit(scale)).cast("double")
+    """x rounded as Python rounds: to the decimal nearest to the double's exact value, exact ties to even.
+
+    The double product x * 10**digits may land on a tie that the exact one misses; the error of the product, which
+    splitting x in two halves of 26 bits makes exact, decides there.
+    """
+    scale = float(10**digits)
+    wide = x * 134217729.0  # 2**27 + 1
+    high = wide - (wide - x)
+    product = x * scale
+    error = (high * scale - product) + (x - high) * scale
+    down = F.floor(product).cast("double")
+    beyond = product - (down + 0.5)
+    up = (beyond > 0) | ((beyond == 0) & ((error > 0) | ((error == 0) & (F.abs(down) % 2 == 1))))
+    return (down + F.when(up, 1.0).otherwise(0.0)) / scale
 
 
 SENSITIVE = (*V.DIRECT, "bank_card", "cvv", *V.SPECIAL_FEATURES)

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import weakref
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+#: Folders in use, and where written tables lie.
+_folders: dict[str, str] = {}
+_places: dict[int, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -35,16 +40,45 @@ def local_session(name: str = "veilscan", cores: str = "*", partitions: int = 8,
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """This application's folder below spark.checkpoint.dir, which driver and executors share; it is removed when the application ends.
+
+    Where the session names no such folder, a local session gets a temporary one; on a cluster that is an error, as a
+    folder of one machine would be missing on the others.
+    """
+    context, key = spark.sparkContext, "spark.checkpoint.dir"
+    base = spark.conf.get(key, None) or context.getConf().get(key) or _folders.get(context.applicationId)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError(f"{key} must name a folder that the driver and all executors share")
+        base = _folders[context.applicationId] = tempfile.mkdtemp(prefix="veilscan-")
+    folder = f"{base.rstrip('/')}/veilscan-{context.applicationId}"
+    if folder not in _folders:
+        _folders[folder] = folder
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    return folder
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a table in the folder that executors share (spark.checkpoint.dir; our own only where that is unset).
+    """df as a table in the shared folder: cuts lineage, survives lost executors, and is computed once.
 
-    What several branches of a plan use is computed once, and the optimizer sees a scan instead of what made it.
+    What several branches of a plan use is not planned in each of them; the optimizer sees a scan.
     """
-    spark, key = df.sparkSession, "spark.checkpoint.dir"
-    folder = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="veilscan-")
-        spark.conf.set(key, folder)
-    path = f"{folder.rstrip('/')}/veilscan/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _places[id(out)] = path
+    weakref.finalize(out, _places.pop, id(out), None)
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove what written() made of df before the application ends; nothing that is still to run may read it."""
+    path = _places.pop(id(df), None)
+    if path:
+        there = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(there, True)
