@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -226,9 +227,33 @@ def test_sharding_is_exact_and_uniform(spark, docs, empty, monkeypatch):
     assert rows == sharding.shard_documents(many).collect() or {(r.doc_id, r.shard, r.slot) for r in rows} == {(r.doc_id, r.shard, r.slot) for r in sharding.shard_documents(many).collect()}
 
 
+def test_alike_rows_are_spread(spark, monkeypatch):
+    """Rows alike in all columns are no hot source, and sources in several groups still give exact sizes."""
+    monkeypatch.setattr(sharding, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(sharding, "GROUP_SOURCES", 3)
+    alike = spark.range(5000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("same").alias("text"), F.lit(1).alias("row_"), F.lit(2).alias("shard"))
+    rows = sharding.shard_documents(alike).collect()
+    slots: dict = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(slots) == 40 and all(sorted(v) == list(range(125)) for v in slots.values())
+    placed = sharding.sized(alike).withColumn("row_", F.monotonically_increasing_id())
+    assert placed.groupBy(sharding._draw("source", 1, 100)).count().agg(F.max("count")).first()[0] < 100
+
+
 def test_matrix_margins():
     m = sharding.communication_matrix([5, 0, 9, 6], [4, 8, 8])
     assert m.sum(axis=1).tolist() == [5, 0, 9, 6] and m.sum(axis=0).tolist() == [4, 8, 8] and (m >= 0).all()
+    big = sharding.communication_matrix([3 * 10**9, 10**9], [10**9] * 4, 5)
+    assert big.sum(axis=1).tolist() == [3 * 10**9, 10**9] and big.sum(axis=0).tolist() == [10**9] * 4 and (big >= 0).all()
+
+
+def test_hypergeometric_beyond_numpys_bound():
+    for good, bad, sample in ((2 * 10**9, 3 * 10**9, 10**9), (3 * 10**9, 10**9, 35 * 10**8), (40, 2 * 10**9, 10**9)):
+        rng, n = np.random.default_rng(3), good + bad
+        x = np.array([sharding.hypergeometric(rng, good, bad, sample) for _ in range(3000)], float)
+        mean, var = sample * good / n, sample * good / n * bad / n * (n - sample) / (n - 1)
+        assert abs(x.mean() - mean) < 4 * math.sqrt(var / 3000) and abs(x.var() / var - 1) < 0.15 and x.min() >= max(0, sample - bad) and x.max() <= min(good, sample)
 
 
 def test_licenses(docs, empty):
@@ -273,6 +298,19 @@ def test_segments_are_the_maximal_ones():
         assert (not got) == (best[0] <= 0) and (not got or math.isclose(max(v for v, *_ in got), best[0]))
 
 
+def test_segments_take_linear_time():
+    """What is rescanned for each run makes these take minutes: slow descents, and pairs that never join."""
+    n = 1_000_000
+    for pattern in ([1.0, -2.0], [2.0, -1.0], [1.0, -1.0]):
+        s = np.tile(pattern, n)
+        start = time.time()
+        got = toxicity.segments(s)
+        assert time.time() - start < 20 and len(got) == (1 if pattern == [2.0, -1.0] else n)
+    ladder = np.concatenate([np.tile([1.0, -1.5], n // 2), np.tile([1.5, -1.0], n // 2)])
+    start = time.time()
+    assert len(toxicity.segments(ladder)) >= 1 and time.time() - start < 20
+
+
 def test_toxicity_on_held_out_rows(spark, empty):
     bad = ["scumbag", "idiotic", "worthlessly"]
     r = random.Random(8)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,26 +9,28 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import dropped, shared_dir, written
+
+__all__ = ["arrow_schema", "dropped", "free_names", "keep_rows", "map_texts", "materialize", "shared_dir", "slices", "split_rule", "text_bytes"]
+
 #: Texts are handed to Python code in slices of at most so many bytes (a longer text is a slice of its own).
 SLICE_BYTES = 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; only where the session names none, a folder of our own (as in tests)."""
-    key = "spark.checkpoint.dir"
-    found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
-    if not found:
-        found = tempfile.mkdtemp(prefix="veilscan-")
-        spark.conf.set(key, found)
-    return found.rstrip("/")
+#: df as a table in the shared folder: cuts lineage, survives lost executors, computes df once.
+materialize = written
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df into the shared folder and read it back: cuts lineage, survives lost executors, computes df once."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/veilscan/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for columns of our own that df doesn't have: underscores are added to wanted ones until none clashes."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def text_bytes(text_col: str = "text") -> Column:
@@ -79,12 +79,13 @@ def split_rule(id_col: str, modulus: int) -> Column:
 
 def keep_rows(docs: DataFrame, keep: Callable[[list], list], text_col: str = "text") -> DataFrame:
     """The rows of docs for whose texts (bytes, null as empty) keep says true; all columns, no shuffle."""
+    (own,) = free_names(docs, "bytes_")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             texts = batch.column(at).cast(pa.large_binary())
-            for part in slices(batch.set_column(batch.num_columns, "bytes_", texts), batch.num_columns):
+            for part in slices(batch.append_column(own, texts), batch.num_columns):
                 mask = keep([t or b"" for t in part.column(part.num_columns - 1).to_pylist()])
                 yield part.select(list(range(part.num_columns - 1))).filter(pa.array(mask, pa.bool_()))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import dropped, materialize
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "at")
         small = large.join(low, F.col("u") == F.col("at"))
         stars = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        now = materialize(stars.where("u <> v").distinct(), "stars")
+        last, now = now, materialize(stars.where("u <> v").distinct(), "stars")
+        dropped(last)
         # A root is never on the left, and every node has one root, when nothing is left to do.
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == before:

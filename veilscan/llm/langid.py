@@ -11,7 +11,7 @@ import itertools
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_texts, split_rule
@@ -23,6 +23,7 @@ DIM = 1 << BITS
 #: The bound of the training sample: rows together and of one language (each also gives a short snippet).
 MOST_ROWS = 2400
 MOST_OF_A_LANGUAGE = 600
+LEAST_OF_A_LANGUAGE = 20
 SNIPPET_WORDS = 6
 #: Families of languages (fixed values); any other language is a family of its own.
 FAMILIES = {
@@ -79,15 +80,11 @@ class Model:
         """The language and how sure the least sure of the deciding machines is, 0 to 1."""
         if not self.languages or not has_letters(text):
             return UNKNOWN, 0.0
-        margins, total = np.zeros(len(self.pairs)), 0
-        for at in range(0, len(text), CHUNK):
-            h = grams(text[at : at + CHUNK])
-            total += len(h)
-            if len(self.pairs):
-                margins += self.weights[h].sum(axis=0, dtype=np.float64)
+        counts = profile(text)
+        total = counts.sum()
         if not total:
             return UNKNOWN, 0.0
-        sure = dict(zip(self.pairs, margins / total + self.bias, strict=True))
+        sure = dict(zip(self.pairs, counts / total @ self.weights + self.bias, strict=True))
         family, p = _tournament(sorted(self.members), sure)
         lang, q = _tournament(self.members[family], sure)
         return lang, float(min(p, q))
@@ -125,15 +122,22 @@ def _machine(x: np.ndarray, y: np.ndarray, steps: int = 250, cost: float = 20.0)
 
 
 def fit(labelled: DataFrame, most_rows: int = MOST_ROWS, most_of_a_language: int = MOST_OF_A_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on rows with a language and a text with letters; at most about most_rows of them, chosen by a hash of the id, alike for each language."""
+    """Fit on rows with a language and a text with letters: of each language the first by a hash of the id.
+
+    Languages have alike many rows, at most most_of_a_language and together most_rows, but LEAST_OF_A_LANGUAGE where
+    there are so many languages that this is more; every language takes part.
+    """
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
     if not sizes:
-        return Model([], {}, [], np.zeros((DIM, 0), np.float32), np.zeros(0))
-    each = max(20, min(most_of_a_language, most_rows // len(sizes)))
-    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, each / n))))
-    draw = F.pmod(F.xxhash64(F.lit("langid"), id_col), F.lit(1_000_000)) / 1e6
-    some = known.where(draw < share[F.col(lang_col)]).limit(2 * most_rows).select(F.col(lang_col).alias("lang_"), F.col(text_col).cast("binary").alias("text_"))
+        return Model([], {}, [], np.zeros((DIM, 0)), np.zeros(0))
+    each = max(LEAST_OF_A_LANGUAGE, min(most_of_a_language, most_rows // len(sizes)))
+    # A share by hash first, of about twice the wanted rows, so that what is ranked is bounded.
+    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2 * each / n))))
+    draw = F.xxhash64(F.lit("langid"), id_col)
+    some = known.where(F.pmod(draw, F.lit(1_000_000)) / 1e6 < share[F.col(lang_col)]).select(F.col(lang_col).alias("lang_"), F.col(text_col).cast("binary").alias("text_"), draw.alias("draw_"))
+    place = F.row_number().over(Window.partitionBy("lang_").orderBy("draw_", F.crc32("text_")))
+    some = some.withColumn("place_", place).where(F.col("place_") <= each)
 
     def work(langs: list, texts: list) -> dict:
         out: dict[str, list] = {"lang": [], "at": [], "n": []}
@@ -178,7 +182,7 @@ def fit_profiles(langs: list[str], x: np.ndarray) -> Model:
             pairs.append((a, b))
             columns.append(w * scale)
             bias.append(c)
-    weights = np.stack(columns, axis=1).astype(np.float32) if columns else np.zeros((DIM, 0), np.float32)
+    weights = np.stack(columns, axis=1).astype(np.float64) if columns else np.zeros((DIM, 0))
     return Model(languages, members, pairs, weights, np.array(bias))
 
 

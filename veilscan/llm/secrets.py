@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, text_bytes
+from .common import free_names, shared_dir, text_bytes
 
 
 @dataclass(frozen=True)
@@ -86,7 +86,7 @@ def blob_id(text_col: str = "text") -> Column:
 
 def new_ledger(df: DataFrame) -> str:
     """A place for a ledger in the folder that executors share."""
-    return f"{shared_dir(df.sparkSession)}/veilscan/ledger-{uuid.uuid4().hex}"
+    return f"{shared_dir(df.sparkSession)}/ledger-{uuid.uuid4().hex}"
 
 
 def _ledger(df: DataFrame, path: str, version: str) -> DataFrame | None:
@@ -127,7 +127,8 @@ def listed(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """docs with every span of text_col replaced by <kind>; overlapping spans become one, named by the first.  Other columns stay."""
-    rows = update_ledger(docs, ledger or new_ledger(docs), rules, text_col).where(F.size("spans") > 0).select(F.col("blob").alias("scanned_blob_"), F.col("spans").alias("found_spans_"))
+    own, scanned, spans = free_names(docs, "blob_", "scanned_blob_", "found_spans_")
+    rows = update_ledger(docs, ledger or new_ledger(docs), rules, text_col).where(F.size("spans") > 0).select(F.col("blob").alias(scanned), F.col("spans").alias(spans))
     text, kinds = F.col(text_col), F.lit([r.kind for r in rules])
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -137,6 +138,6 @@ def redact(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] =
         fresh = F.concat(acc["out"], F.array(gap, F.concat(F.lit("<"), F.get(kinds, s["rank"]), F.lit(">"))))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
 
-    new = F.aggregate(F.col("found_spans_"), zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, (acc["at"] + 1).cast("int"))))
-    joined = docs.withColumn("blob_", blob_id(text_col)).join(rows, F.col("blob_") == F.col("scanned_blob_"), "left")
-    return joined.withColumn(text_col, F.when(F.col("found_spans_").isNotNull(), new).otherwise(text)).select(*docs.columns)
+    new = F.aggregate(F.col(spans), zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, (acc["at"] + 1).cast("int"))))
+    joined = docs.withColumn(own, blob_id(text_col)).join(rows, F.col(own) == F.col(scanned), "left")
+    return joined.withColumn(text_col, F.when(F.col(spans).isNotNull(), new).otherwise(text)).select(*docs.columns)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, split_rule, text_bytes
+from .common import dropped, map_texts, materialize, split_rule, text_bytes
 
 #: The bound of the training sample: labelled rows of each label.
 MOST_OF_A_LABEL = 6000
@@ -51,13 +51,17 @@ def tokens_of(word: bytes) -> list[bytes]:
 
 
 def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
-    """All maximal-scoring segments (score, start, end) in linear time (Ruzzo and Tompa)."""
+    """All maximal-scoring segments (score, start, end) in linear time (Ruzzo and Tompa).
+
+    Of each candidate the last one before it whose left sum is smaller is kept, so a search leaps from candidate to
+    candidate and none that was leapt over is looked at again.
+    """
     if not len(scores):
         return []
     starts = np.flatnonzero(np.r_[True, (scores[1:] > 0) != (scores[:-1] > 0)])
     sums = np.add.reduceat(scores, starts)
     ends = np.r_[starts[1:], len(scores)]
-    found: list[tuple[float, float, int, int]] = []  # sum before, sum up to the end, start, end
+    found: list[tuple[float, float, int, int, int]] = []  # sum before, sum up to the end, start, end, last with a smaller sum before
     total = 0.0
     for s, a, b in zip(sums.tolist(), starts.tolist(), ends.tolist(), strict=True):
         if s <= 0:
@@ -65,16 +69,18 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
             continue
         left, right, start = total, total + s, a
         total = right
-        while found:
-            j = len(found) - 1
-            while j >= 0 and found[j][0] >= left:
-                j -= 1
-            if j < 0 or found[j][1] >= right:
+        j = len(found) - 1
+        while j >= 0:
+            if found[j][0] >= left:
+                j = found[j][4]
+            elif found[j][1] >= right:
                 break
-            left, start = found[j][0], found[j][2]
-            del found[j:]
-        found.append((left, right, start, b))
-    return [(r - le, a, b) for le, r, a, b in found]
+            else:  # joined with all from j on
+                left, start, back = found[j][0], found[j][2], found[j][4]
+                del found[j:]
+                j = back
+        found.append((left, right, start, b, j))
+    return [(r - le, a, b) for le, r, a, b, _ in found]
 
 
 @dataclass
@@ -146,21 +152,21 @@ def extreme_values(counts: dict[float, int]) -> tuple[float, float]:
 
 
 def training_labels(labels: DataFrame, most: int = MOST_OF_A_LABEL, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
-    """doc_id, toxic, weight of at most about `most` rows of each label that are not held out, chosen by a hash of the id.
+    """doc_id, toxic, weight of at most `most` ids of each label that are not held out: the first by a hash of the id.
 
-    weight says how many labelled rows a row stands for.  Null and doubtful labels are left out.
+    weight says how many labelled ids one stands for.  Null and doubtful labels are left out.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (split_rule(id_col, 4) != 2)).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).alias("toxic"), F.min(label_col).alias("least")).where("toxic = least").drop("least")
     sizes = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
-    draw = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1_000_000)) / 1e6
-    share = F.when(F.col("toxic") == 1, min(1.0, most / max(1, sizes.get(1, 0)))).otherwise(min(1.0, most / max(1, sizes.get(0, 0))))
-    return known.where(draw < share).limit(3 * most).withColumn("weight", 1 / share)
+    first = [known.where(F.col("toxic") == y).orderBy(F.xxhash64(F.lit("toxicity"), "doc_id"), "doc_id").limit(most).withColumn("weight", F.lit(max(1.0, sizes.get(y, 0) / most))) for y in (0, 1)]
+    return first[0].unionByName(first[1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_OF_A_LABEL, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on the labelled texts of docs; the sample of labels is bounded by `most` and so can be broadcast."""
+    """Fit on the labelled texts of docs, which are written once; the sample of labels is bounded by `most` and so can be broadcast."""
     chosen = training_labels(labels, most, id_col, label_col).withColumnRenamed("doc_id", "labelled")
-    rows = docs.select(F.col(id_col).alias("own_id"), text_bytes(text_col).alias("text")).join(F.broadcast(chosen), F.col("own_id") == F.col("labelled")).select("toxic", "text", "weight")
+    whole = docs.select(F.col(id_col).alias("own_id"), text_bytes(text_col).alias("text")).join(F.broadcast(chosen), F.col("own_id") == F.col("labelled")).select("toxic", "text", "weight")
+    rows = materialize(whole, "labelled-texts")
 
     def counted(batches):
         for batch in batches:
@@ -179,6 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_OF_A_LABEL, id_col:
     kept = counts.where(totals | (F.col("y1") >= LEAST_TEXTS)).toArrow()
     tokens, y1, y0 = kept.column(0).to_pylist(), kept.column(1).to_numpy().astype(float), kept.column(2).to_numpy().astype(float)
     if b"" not in tokens or not y1[(at := tokens.index(b""))] or not y0[at]:
+        dropped(rows)
         return Model()  # one label only: nothing to tell apart
     delta, z = log_odds(y1, y0, y1[at], y0[at])
     first = {t for t, d, v in zip(tokens, delta, z, strict=True) if t and v >= LEAST_Z and d > 0.5}
@@ -227,6 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_OF_A_LABEL, id_col:
     seen = rows.mapInArrow(evidence, "toxic int, evidence double, weight double").toArrow()
     model.slope, model.offset = _curve(np.log1p(seen.column(1).to_numpy()), seen.column(0).to_numpy().astype(float), seen.column(2).to_numpy())
     model.cache = {}
+    dropped(rows)
     return model
 
 
