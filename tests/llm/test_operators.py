@@ -81,18 +81,31 @@ def test_near_duplicates_without_ids_or_rows(spark, empty):
     assert sorted(str(r.component_id) for r in rows) == ["7", "7", "None"]
 
 
-@pytest.mark.parametrize("way", ["words", "batches"])
-def test_bpe_is_the_librarys(spark, docs, empty, way):
+@pytest.mark.parametrize("block", [32 << 20, 2000, 1])
+def test_bpe_is_the_librarys(spark, docs, empty, monkeypatch, block):
+    """Ids and decoded texts, whatever the size of blocks and buckets."""
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", block)
     t = bpe.codec(bpe.default_tokenizer()).tokenizer
     want = {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(TEXTS)}
-    if way == "batches":
-        assert {r.doc_id: r.ids for r in bpe.encode(docs).collect()} == want
-        return
-    rows = bpe.encode_by_words(docs).collect()
-    assert len(rows) == len(TEXTS) and bpe.encode_by_words(empty).count() == 0
+    rows = bpe.encode_by_words(docs if block > 1 else docs.where("doc_id < 10")).collect()
+    assert len(rows) == (len(TEXTS) if block > 1 else 10)
     for r in rows:
-        ids = want[r.doc_id]
-        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), P.sha(" ".join(map(str, ids))), P.sha(t.decode(ids, skip_special_tokens=False)))
+        assert r.ids == want[r.doc_id] and r.text == t.decode(want[r.doc_id], skip_special_tokens=False)
+    assert bpe.encode_by_words(empty).count() == 0
+    assert {r.doc_id: r.ids for r in bpe.encode(docs).collect()} == want
+
+
+def test_bpe_query(spark, docs, tmp_path):
+    from veilscan.llm import queries
+
+    docs.unionByName(docs).unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("bigint"))).write.parquet(str(tmp_path / "documents.parquet"))
+    t = bpe.codec(bpe.default_tokenizer()).tokenizer
+    rows = queries.op2_bpe(spark, str(tmp_path)).collect()
+    assert len(rows) == 2 * len(TEXTS) + 3 and sum(r.doc_id is None for r in rows) == 3
+    for r in rows:
+        if r.doc_id is not None:
+            ids = t.encode(TEXTS[r.doc_id] or "", add_special_tokens=False).ids
+            assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), P.sha(" ".join(map(str, ids))), P.sha(t.decode(ids, skip_special_tokens=False)))
 
 
 def test_bpe_words_without_tokens(spark):
@@ -100,7 +113,16 @@ def test_bpe_words_without_tokens(spark):
     t = bpe.codec(bpe.default_tokenizer()).tokenizer
     for r in bpe.encode_by_words(frame(spark, texts)).collect():
         ids = t.encode(texts[r.doc_id], add_special_tokens=False).ids
-        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), P.sha(" ".join(map(str, ids))), P.sha(t.decode(ids, skip_special_tokens=False)))
+        assert (r.ids, r.text) == (ids, t.decode(ids, skip_special_tokens=False))
+
+
+def test_each_distinct_word_is_encoded_once(spark):
+    """Words of many blocks are one row of the table."""
+    d = frame(spark, [words(k % 7, 300) for k in range(60)])
+    dealt = bpe.blocks(d.repartition(6), 5).repartition(5, "route")
+    table = bpe.distinct_words(dealt, bpe.default_tokenizer()).where("word is not null").collect()
+    assert len(table) == len({r.word for r in table}) == len({w for k in range(7) for w in words(k, 300).split()})
+    assert dealt.where("route >= 0").select("block").distinct().count() > 1
 
 
 def test_bpe_decodes_by_join(spark, docs):
@@ -110,9 +132,9 @@ def test_bpe_decodes_by_join(spark, docs):
         assert r.text == t.decode(t.encode(TEXTS[r.key] or "", add_special_tokens=False).ids, skip_special_tokens=False)
 
 
-def test_places_round_trip():
-    v = np.array([0, 1, 127, 128, 16383, 16384, 2**21, 2**28 - 1])
-    assert (bpe._unplaces(bpe._places(v)) == v).all() and len(bpe._unplaces(b"")) == 0
+def test_numbers_round_trip():
+    v = np.array([0, 1, 127, 128, 16383, 16384, 2**21, 2**28 - 1, 2**32 - 1])
+    assert (bpe._numbers(bpe._planes(v)) == v).all() and len(bpe._numbers(bpe._planes(v[:0]))) == 0
 
 
 def test_media_round_trip(docs, empty):

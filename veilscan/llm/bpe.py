@@ -1,13 +1,19 @@
 """BPE encoding and decoding over a table of distinct words.
 
-A text is cut at ASCII white space, which no token crosses; the pieces are its words.  Blocks of whole documents list
-their distinct words once.  The lists meet by hash of the word, where each distinct word is encoded once and decoded
-through a join of its ids with the pieces; ids go back to the blocks by list position and to the documents by place.
+A text is cut at ASCII white space, which no token crosses; what is between is its words.  One pass over the texts makes
+blocks of whole documents: a block's distinct words, dealt to buckets by hash, and its documents as places in the list
+of those.  Words meet by bucket and become the table of distinct words, where each is encoded once; a join of the ids of
+a bucket with the vocabulary gives the pieces they decode to.  Ids and texts go back to the blocks by word, and to the
+documents by place.
+
+    blocks (route, ...) --by bucket--> distinct words (route, word, ids) and ids (route, id) --join pieces by id-->
+      --by bucket--> ids and texts of each block's words --by block--> documents
+
+Blocks and buckets have about BLOCK_BYTES of text each, so their number grows with the input and their size does not.
 """
 
 from __future__ import annotations
 
-import hashlib
 import os
 import re
 import zlib
@@ -15,17 +21,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, slices, text_bytes
+from .common import map_texts, slices, text_bytes
 
-#: Entries that a worker keeps of each of its two tables between slices; a full one is begun anew.
+#: Entries that a worker of Codec keeps of each of its two tables between slices; a full one is begun anew.
 KEPT_WORDS, KEPT_PIECES = 500_000, 400_000
-#: Text of a block, and hash buckets that its words are dealt to.
+#: Text of a block, and of a bucket on average; places of documents in one row.
 BLOCK_BYTES = 32 << 20
-BUCKETS = 64
+ROW_PLACES = 1 << 20
 #: How the tokenizer cuts normalised text (fixed by its file).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Words of which lower-casing and normalisation are the same everywhere.
@@ -68,9 +76,11 @@ class Codec:
         """Words whose encodings, put together, are the text's.  Special tokens are lower case, so texts with `<|` keep their case."""
         return text.split() if b"<|" in text else text.lower().split()
 
+    def ids(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
     def _whole(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(i, "<u4").tobytes() for i in self.ids(words)]
 
     def _learn_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Encode pieces in one go: between blanks, each ends with the only token that ends a word."""
@@ -134,197 +144,225 @@ class Codec:
             yield b"".join(map(known, words))
 
 
-def encode_batches(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids (binary, little-endian unsigned 32 bit): each whole text encoded within its partition, no shuffle."""
-    from .common import map_texts
+#: Rows of a block's documents (route: the block), or of its words of one bucket (route: the bucket, negative).
+ROW = "route bigint, block bigint, words bigint, doc_ids array<bigint>, sizes binary, payload binary"
+ARROW_ROW = pa.schema([("route", pa.int64()), ("block", pa.int64()), ("words", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("payload", pa.binary())])
+#: What goes back to a block: numbers of its words, their ids and what they decode to.
+BACK = "route bigint, numbers binary, sizes binary, ids binary, texts binary"
+ARROW_BACK = pa.schema([("route", pa.int64())] + [(k, pa.binary()) for k in ("numbers", "sizes", "ids", "texts")])
+DONE = "doc_id bigint, ids array<int>, text string"
+ARROW_DONE = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
 
-    def work(ids: list, texts: list) -> dict:
-        return {"doc_id": ids, "ids": list(codec(path).encode(texts))}
 
-    return map_texts(docs, work, "doc_id bigint, ids binary", id_col, text_col)
+def _pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
-def _pack(items: list[bytes]) -> bytes:
-    """Items without white space, compressed."""
-    return zlib.compress(b"\n".join(items), 1)
+def _unpack(blob: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob)
 
 
-def _unpack(blob: bytes) -> list[bytes]:
-    raw = zlib.decompress(blob)
-    return raw.split(b"\n") if raw else []
+def _planes(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, compressed with all first bytes together, then all second ones, and so on."""
+    return _pack(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
-def _places(values: np.ndarray) -> bytes:
-    """Numbers under 2**28, small ones in fewer bytes: seven bits a byte, the top bit on all but the last."""
-    v = values.astype(np.uint32)
-    out = np.zeros((len(v), 4), np.uint8)
-    keep = np.zeros((len(v), 4), bool)
-    for k in range(4):
-        rest = v >> np.uint32(7 * k)
-        keep[:, k] = rest > 0 if k else True
-        out[:, k] = (rest & 127) | np.where((v >> np.uint32(7 * (k + 1))) > 0, 128, 0) if k < 3 else rest & 127
-    return out[keep].tobytes()
+def _numbers(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_unpack(blob), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
-def _unplaces(blob: bytes) -> np.ndarray:
-    b = np.frombuffer(blob, np.uint8)
-    if not len(b):
-        return np.empty(0, np.int64)
-    starts = np.flatnonzero(np.r_[True, b[:-1] < 128])
-    shift = 7 * (np.arange(len(b)) - np.repeat(starts, np.diff(np.r_[starts, len(b)])))
-    return np.add.reduceat((b & 127).astype(np.int64) << shift, starts)
+def _lines(values: pa.Array) -> bytes:
+    """Strings without line ends, compressed."""
+    return _pack("\n".join(values.to_pylist()).encode())
 
 
-ROW = "route int, block string, bucket int, doc_ids array<bigint>, numbers binary, payload binary"
-ARROW_ROW = pa.schema([("route", pa.int32()), ("block", pa.string()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("numbers", pa.binary()), ("payload", pa.binary())])
-RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+def _strings(blob: bytes, n: int) -> pa.Array:
+    return pa.array(_unpack(blob).decode().split("\n") if n else [], pa.large_string())
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(ARROW_ROW)], schema=ARROW_ROW)
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 class Block:
-    """Whole documents of a partition: the list of distinct words, and each document as places in it."""
-
-    def __init__(self, name: str) -> None:
-        self.name, self.size = name, 0
-        self.number: dict[bytes, int] = {}
-        self.ids: list[int | None] = []
-        self.places: list[np.ndarray] = []
-
-    def add(self, doc_id: int | None, text: bytes, words: list[bytes]) -> None:
-        number = self.number
-        for w in set(words).difference(number):
-            number[w] = len(number)
-        self.ids.append(doc_id)
-        self.places.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
-        self.size += len(text)
+    """Whole documents of a task: their ids, and their words as they come."""
+
+    def __init__(self, number: int) -> None:
+        self.number, self.size = number, 0
+        self.ids: list[pa.Array] = []
+        self.counts: list[np.ndarray] = []
+        self.words: list[pa.Array] = []
+
+    def add(self, ids: pa.Array, texts: pa.Array) -> None:
+        cut = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        flat, there = cut.flatten(), None
+        there = pc.greater(pc.binary_length(flat), 0)  # blanks at the ends of a text leave empty words
+        before = np.r_[0, np.cumsum(there.to_numpy(zero_copy_only=False))]
+        self.counts.append(np.diff(before[cut.offsets.to_numpy() - cut.offsets[0].as_py()]))
+        self.words.append(flat.filter(there))
+        self.ids.append(ids)
+        self.size += texts.nbytes
 
     def rows(self, buckets: int) -> Iterator[pa.RecordBatch]:
-        """The word list, dealt to buckets by the words' hashes, then the documents.  Frequent words get small numbers."""
-        counts = np.zeros(len(self.number), np.int64)
-        for p in self.places:
-            np.add.at(counts, p, 1)
-        rank = np.empty(len(counts), np.uint32)
-        rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts), dtype=np.uint32)
-        dealt: list[list[tuple[int, bytes]]] = [[] for _ in range(buckets)]
-        for w, r in zip(self.number, rank.tolist(), strict=True):
-            dealt[zlib.crc32(w) % buckets].append((r, w))
-        self.number.clear()
-        for k, some in enumerate(dealt):
-            if some:
-                some.sort()
-                numbers = np.array([r for r, _ in some], np.int64)
-                yield _rows([(k, self.name, k, None, zlib.compress(_places(np.diff(numbers, prepend=0)), 1), zlib.compress(b"\n".join([w for _, w in some]), 1))])
-        route = zlib.crc32(self.name.encode()) % buckets
-        for i in range(0, len(self.ids), 500):
-            some = [rank[p] for p in self.places[i : i + 500]]
-            ends = np.array([len(p) for p in some], np.int64)
-            yield _rows([(route, self.name, -1, self.ids[i : i + 500], _places(ends), zlib.compress(_places(np.concatenate(some)), 1))])
-
-
-def _lists_and_places(docs: DataFrame, path: str, id_col: str, text_col: str, buckets: int) -> DataFrame:
-    """One pass over the texts: rows of a block's words of one bucket, and rows of documents (bucket -1) that only pass through."""
-    frame = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
+        """The words of each bucket, sorted, with their numbers; then the documents.  Frequent words get small numbers."""
+        coded = pa.chunked_array(self.words, pa.large_string()).combine_chunks().dictionary_encode()
+        places, words = coded.indices.to_numpy(), coded.dictionary
+        often = np.bincount(places, minlength=len(words))
+        rank = np.empty(len(words), np.int64)
+        rank[np.argsort(-often, kind="stable")] = np.arange(len(words))
+        order = pc.sort_indices(words).to_numpy()
+        bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words.to_pylist()), np.int64, len(words))
+        order = order[np.argsort(bucket[order], kind="stable")]
+        starts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else []
+        for a, b in zip(starts, [*starts[1:], len(order)], strict=True):
+            some = order[a:b]
+            yield self._row(-1 - int(bucket[some[0]]), len(some), None, _planes(rank[some]), _lines(words.take(pa.array(some))))
+        places, counts, ids = rank[places], np.concatenate(self.counts), pa.concat_arrays(self.ids)
+        ends = np.cumsum(counts)
+        at = 0
+        while at < len(counts):
+            first = int(ends[at] - counts[at])
+            end = max(at + 1, int(np.searchsorted(ends, first + ROW_PLACES, "right")))
+            yield self._row(self.number, len(words), ids[at:end].to_pylist(), _planes(counts[at:end]), _planes(places[first : int(ends[end - 1])]))
+            at = end
+
+    def _row(self, route: int, words: int, ids: list | None, sizes: bytes, payload: bytes) -> pa.RecordBatch:
+        values = (route, self.number, words, ids, sizes, payload)
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, ARROW_ROW, strict=True)], schema=ARROW_ROW)
+
+
+def blocks(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One pass over the texts: see ROW."""
+    frame = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        split, task = codec(path).split, TaskContext.get().partitionId()
-        n, block = 0, Block(f"{task}.0")
+        number = TaskContext.get().partitionId() << 32
+        block = Block(number)
         for batch in batches:
-            for part in slices(batch, 1, SLICE_BYTES):
-                for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    if block.ids and block.size + len(t) > BLOCK_BYTES:
-                        yield from block.rows(buckets)
-                        n += 1
-                        block = Block(f"{task}.{n}")
-                    block.add(i, t, split(t))
+            for part in slices(batch, 1):
+                if block.ids and block.size + part.column(1).nbytes > BLOCK_BYTES:
+                    yield from block.rows(buckets)
+                    number += 1
+                    block = Block(number)
+                block.add(part.column(0), part.column(1))
         if block.ids:
             yield from block.rows(buckets)
 
     return frame.mapInArrow(run, ROW)
 
 
-def _encode_lists(path: str):
-    """Rows sorted by bucket: a bucket's distinct words are encoded once, words are replaced by their ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] >= 0:
-                    words = zlib.decompress(row["payload"]).split(b"\n")
-                    own.learn(set(words))
-                    ids = [own.words[w] for w in words]
-                    lengths = np.array([len(x) // 4 for x in ids], np.int64)
-                    row["doc_ids"], row["payload"] = None, zlib.compress(_places(np.concatenate([lengths, np.frombuffer(b"".join(ids), "<u4").astype(np.int64)])), 1)
-                yield _rows([tuple(row.values())])
-
-    return run
+WORD = "route bigint, word string, ids array<int>, id int"
+ARROW_WORD = pa.schema([("route", pa.int64()), ("word", pa.string()), ("ids", pa.list_(pa.int32())), ("id", pa.int32())])
 
 
-def piece_table(path: str) -> list[str]:
-    """Pieces by id, added tokens included; as many as the tokenizer file has, whatever the corpus."""
-    t = codec(path).tokenizer
-    return [t.id_to_token(i) or "" for i in range(len(codec(path).ends))]
+def distinct_words(dealt: DataFrame, path: str) -> DataFrame:
+    """route, word, ids of each distinct word of all blocks that has tokens; and route, id of each distinct id of a bucket.
 
+    A word is encoded once, in its bucket.
+    """
 
-def _digest(path: str):
-    """Rows sorted by block, its word lists first: ids by list position, pieces by id, documents by place."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = [p.encode() for p in piece_table(path)]
-        names = [b"%d" % i for i in range(len(pieces))]
-        block, text_of, piece_of, lengths = None, [], [], np.empty(0, np.int64)
-        lists: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["block"] != block:
-                    block, lists, text_of = row["block"], [], []
-                if row["bucket"] >= 0:
-                    lists.append((np.cumsum(_unplaces(zlib.decompress(row["numbers"]))), _unplaces(zlib.decompress(row["payload"]))))
-                    continue
-                if lists:
-                    n = sum(len(numbers) for numbers, _ in lists)
-                    text_of, piece_of, lengths = [b""] * n, [b""] * n, np.zeros(n, np.int64)
-                    for numbers, packed in lists:
-                        size, ids = packed[: len(numbers)], packed[len(numbers) :].tolist()
-                        lengths[numbers] = size
-                        at = 0
-                        for k, m in zip(numbers.tolist(), size.tolist(), strict=True):
-                            own = ids[at : at + m]
-                            text_of[k] = b" ".join([names[i] for i in own])
-                            piece_of[k] = b" ".join([pieces[i] for i in own])
-                            at += m
-                    lists = []
-                at, out = 0, ([], [], [], [])
-                places = _unplaces(zlib.decompress(row["payload"]))
-                for doc_id, m in zip(row["doc_ids"], _unplaces(row["numbers"]).tolist(), strict=True):
-                    own = places[at : at + m]
-                    at += m
-                    some = own[lengths[own] > 0].tolist()  # words without tokens leave no gap
-                    out[0].append(doc_id)
-                    out[1].append(int(lengths[own].sum()))
-                    out[2].append(hashlib.sha256(b" ".join([text_of[k] for k in some])).hexdigest())
-                    out[3].append(hashlib.sha256(b" ".join([piece_of[k] for k in some])).hexdigest())
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2]), pa.array(out[3])], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return run
+    def encode_bucket(key: tuple, rows: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 0:
+            return ARROW_WORD.empty_table()
+        lists = [_strings(p, n) for p, n in zip(rows.column("payload").to_pylist(), rows.column("words").to_pylist(), strict=True)]
+        words, own = pc.unique(pa.chunked_array(lists, pa.large_string())), codec(path)
+        ids = pa.array([i for at in range(0, len(words), 20_000) for i in own.ids(words[at : at + 20_000].to_pylist())], pa.list_(pa.int32()))
+        some = pc.greater(pc.list_value_length(ids), 0)
+        words, ids = words.filter(some).cast(pa.string()), ids.filter(some)
+        used = pc.unique(ids.flatten())
+        route = lambda n: pa.array(np.full(n, key[0].as_py()))
+        tables = [pa.table([route(len(words)), words, ids, pa.nulls(len(words), pa.int32())], ARROW_WORD), pa.table([route(len(used)), pa.nulls(len(used), pa.string()), pa.nulls(len(used), pa.list_(pa.int32())), used], ARROW_WORD)]
+        return pa.concat_tables(tables)
+
+    return dealt.groupBy("route").applyInArrow(encode_bucket, WORD)
+
+
+def with_pieces(words: DataFrame, table: DataFrame) -> DataFrame:
+    """words with the piece of each row that is an id.  The vocabulary is broadcast: its size is the tokenizer file's."""
+    named = table.select(F.col("id").alias("id_"), "piece")
+    return words.join(F.broadcast(named), F.col("id") == F.col("id_"), "left").drop("id_")
+
+
+def _give_back(key: tuple, rows: pa.Table, words: pa.Table) -> pa.Table:
+    """A bucket: for each block's words in it their ids and texts.  Words without tokens have no ids."""
+    out: list[tuple] = []
+    if key[0].as_py() < 0 and rows.num_rows:
+        is_word = pc.is_valid(words.column("word"))
+        coded, named = words.filter(is_word), words.filter(pc.invert(is_word))
+        known, ids = coded.column("word").combine_chunks().cast(pa.large_string()), coded.column("ids").combine_chunks()
+        sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+        flat, starts = ids.flatten(), np.cumsum(sizes) - sizes
+        said = named.column("piece").combine_chunks().cast(pa.large_string()).take(pc.index_in(flat, named.column("id").combine_chunks()))
+        texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int64()), said), pa.scalar(" ", pa.large_string()))
+        flat = flat.to_numpy()
+        for row in rows.select(["block", "words", "sizes", "payload"]).to_pylist():
+            at = pc.index_in(_strings(row["payload"], row["words"]), known)
+            here = at.is_valid().to_numpy(zero_copy_only=False)
+            at = at.drop_null().to_numpy()
+            size = np.zeros(len(here), np.int64)
+            size[here] = sizes[at]
+            out.append((row["block"], row["sizes"], _planes(size), _planes(flat[_ranges(starts[at], sizes[at])]), _lines(texts.take(pa.array(at)))))
+    return pa.Table.from_arrays([pa.array([o[k] for o in out], f.type) for k, f in enumerate(ARROW_BACK)], schema=ARROW_BACK)
+
+
+def _put_together(key: tuple, rows: pa.Table, lists: pa.Table) -> pa.Table:
+    """A block: ids and texts by number, then documents by place."""
+    if key[0].as_py() < 0 or not rows.num_rows:
+        return ARROW_DONE.empty_table()
+    n = rows.column("words")[0].as_py()
+    sizes, starts, at_text = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, -1)
+    flat, texts, seen, told, given = [], [], 0, 0, 0
+    for row in lists.to_pylist():
+        numbers, size = _numbers(row["numbers"]), _numbers(row["sizes"])
+        sizes[numbers], starts[numbers] = size, seen + np.cumsum(size) - size
+        some = numbers[size > 0]
+        at_text[some] = told + np.arange(len(some))
+        flat.append(_numbers(row["ids"]))
+        texts.append(_strings(row["texts"], len(some)))
+        seen, told, given = seen + len(flat[-1]), told + len(some), given + len(numbers)
+    if given != n:
+        raise RuntimeError(f"block {key[0]} has {n} words but got {given}: its input came out differently when it was read again")
+    flat = np.concatenate(flat) if flat else np.empty(0, np.int64)
+    texts = pa.chunked_array(texts, pa.large_string()).combine_chunks()
+    out = []
+    for row in rows.to_pylist():
+        counts, places = _numbers(row["sizes"]), _numbers(row["payload"])
+        with_tokens = sizes[places] > 0  # words without tokens leave no gap
+        before = np.r_[0, np.cumsum(with_tokens)][np.r_[0, np.cumsum(counts)]]
+        places = places[with_tokens]
+        size = sizes[places]
+        ends = np.r_[0, np.cumsum(size)][before]
+        ids = flat[_ranges(starts[places], size)].astype(np.int32)
+        said = pa.LargeListArray.from_arrays(pa.array(before, pa.int64()), texts.take(pa.array(at_text[places])))
+        out.append(pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), pc.binary_join(said, pa.scalar(" ", pa.large_string())).cast(pa.string())], schema=ARROW_DONE))
+    return pa.Table.from_batches(out, ARROW_DONE)
 
 
 def encode_by_words(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each whole text, by way of the distinct-word table.
+    """doc_id, ids, text (what the ids decode to) of each whole text, by way of the table of distinct words.
 
-    One row for each row of docs; null and empty texts have no tokens; a null doc_id stays null; repeated rows stay.
+    One row for each row of docs; null and empty texts have no ids and the text ''; a null doc_id stays null; repeated
+    rows stay; an empty table gives none.  Blocks are exchanged once and read three times from there: for the distinct
+    words, to give ids to each block's words, and to put documents together.
     """
     path = path or default_tokenizer()
-    parts = max(12, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    buckets = min(4096, max(BUCKETS, parts))
-    rows = _lists_and_places(docs, path, id_col, text_col, buckets)
-    coded = rows.repartition("route").sortWithinPartitions("route", "bucket").mapInArrow(_encode_lists(path), ROW)
-    return coded.repartition("block").sortWithinPartitions(F.col("block"), F.col("bucket").desc()).mapInArrow(_digest(path), RESULT)
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text_bytes(text_col)))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
+    dealt = blocks(docs, parts, id_col, text_col).repartition(parts, "route")
+    words = with_pieces(distinct_words(dealt, path), pieces(spark, path))
+    back = dealt.groupBy("route").cogroup(words.groupBy("route")).applyInArrow(_give_back, BACK)
+    return dealt.groupBy("route").cogroup(back.groupBy("route")).applyInArrow(_put_together, DONE)
+
+
+def piece_table(path: str) -> list[str]:
+    """Pieces by id, added tokens included; as many as the tokenizer file has, whatever the corpus."""
+    t = codec(path).tokenizer
+    return [t.id_to_token(i) or "" for i in range(len(codec(path).ends))]
 
 
 def pieces(spark, path: str | None = None) -> DataFrame:
@@ -334,8 +372,6 @@ def pieces(spark, path: str | None = None) -> DataFrame:
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array of int) of each whole text."""
-    from .common import map_texts
-
     path = path or default_tokenizer()
 
     def work(ids: list, texts: list) -> dict:

@@ -24,7 +24,9 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_by_words(_table(spark, sf_dir, "documents"))
+    coded = bpe.encode_by_words(_table(spark, sf_dir, "documents"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
