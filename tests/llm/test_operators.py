@@ -310,6 +310,44 @@ def test_fuzzy_finds_all_of_close_notices():
     assert [m[1:4] for m in licenses.fuzzy(licenses.fold(runs)[1], [n])] == [(0, 5, 1), (6, 11, 2), (12, 17, 0), (18, 23, 2), (24, 29, 1)]
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("released under the bsd license", "bsd"),
+        ("released under the isc license", "isc"),
+        ("released under the new license", ""),
+        ("relesed undr the mit licence", "mit"),
+        ("released under the mitt license", ""),
+        ("licensed under cc by nd 4.0", "cc-by-nd"),
+        ("licenced under CC BY-SA 4.0", "cc-by-sa"),
+        ("licensed under the gnu general public license version 1", ""),
+        ("licensed under the gnu generel public licence version 3", "gpl-3"),
+        ("licensed under the gnu lesser general public license version 3", "lgpl"),
+        ("licenced under the gnu general public license version 2 or licenced under the gnu generel public license version 3", "gpl-2,gpl-3"),
+    ],
+)
+def test_edits_spare_the_words_that_tell_licenses_apart(text, labels):
+    assert licenses.scan_text(text.encode())["labels"] == labels
+
+
+def test_own_notices(spark):
+    d = frame(spark, ["covered by the zlib licence of old", "covered by the curl licence of old"])
+    got = {r.doc_id: r.labels for r in licenses.scan(d, notices=(("zlib", "covered by the zlib license of old", "zlib"),)).collect()}
+    assert got == {0: "zlib", 1: ""}
+
+
+def test_notices_take_linear_time():
+    for sep in (b" ", b" and many other words stand here "):
+        took = []
+        for n in (1000, 4000):
+            text = sep.join([b"released undr the mit license", b"licensed under the gnu generel public license version 2"] * n)
+            start = time.time()
+            row = licenses.scan_text(text)
+            took.append(time.time() - start)
+            assert row["spans"].count("mit") == row["spans"].count("gpl-2") == n
+        assert took[1] < 10 * took[0] + 1
+
+
 def test_segments_are_the_maximal_ones():
     r = random.Random(6)
     for _ in range(200):
