@@ -141,19 +141,67 @@ def test_media_round_trip(docs, empty):
     for t in (b"", b"a", b"x" * 192, b"y" * 193, b"z" * 192 * 1000):
         payload = media.pad(t)
         data = media.mux(payload)
-        info = media.probe(data)
-        assert media.payload_of(data, info) == payload and info["codec"] == "raw" and info["samples"] * 192 == len(payload)
-        assert math.isclose(info["duration"], len(payload) / media.RATE)
-        assert all(b - a == 192 and data[a:b] == payload[i * 1920 : i * 1920 + 192] for i, (a, b) in enumerate(info["keyframes"]))
+        (track,) = media.probe(data)
+        assert media.payload_of(data, track) == payload and track.codec == "raw" and track.samples * 192 == len(payload)
+        assert math.isclose(track.duration, len(payload) / media.RATE)
+        assert all(b - a == 192 and data[a:b] == payload[i * 1920 : i * 1920 + 192] for i, (a, b) in enumerate(track.keyframes))
     with pytest.raises(ValueError):
         list(media.boxes(data[:-1], 0, len(data) - 1))
     for r in media.media_columns(docs).collect():
         t = (TEXTS[r.doc_id] or "").encode()
         padded = t + b" " * ((-len(t)) % 192 if t else 192)
-        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(t), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.error, r.tracks) == (len(t), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]), None, 1)
+        assert r.codec == "raw" and len(r.keyframe_ranges) == 2 * -(-len(padded) // 1920)
     assert media.media_columns(empty).count() == 0
-    stored = media.store(docs)
-    assert {r.doc_id: r.media_sha256 for r in media.inspect(stored).collect()} == {r.doc_id: r.media_sha256 for r in media.media_columns(docs).collect()}
+
+
+def _track(number: int, kind: bytes, codec: bytes, sizes: list[int], sync: list[int] | None, offset: int) -> bytes:
+    """A track with samples of unlike sizes in one chunk."""
+    box, full, u = media._box, media._full, media._u32s
+    tables = [full(b"stsd", u(1), box(codec, bytes(28))), full(b"stts", u(1, len(sizes), 10)), full(b"stsc", u(1, 1, len(sizes), 1) if sizes else u(0)), full(b"stsz", u(0, len(sizes), *sizes)), full(b"stco", u(1, offset) if sizes else u(0))]
+    tables += [full(b"stss", u(len(sync), *sync))] if sync is not None else []
+    head = full(b"mdhd", u(0, 0, 1000, 10 * len(sizes), 0))
+    return box(b"trak", full(b"tkhd", u(0, 0, number, 0, 0), bytes(60)), box(b"mdia", head, full(b"hdlr", bytes(4), kind, bytes(12)), box(b"minf", box(b"stbl", *tables))))
+
+
+def test_tracks_are_kept_apart():
+    """Sound before picture: each track's sync samples meet its own tables."""
+    file = media._box(b"ftyp", b"isom", media._u32s(512))
+    moov = lambda at: media._box(b"moov", _track(1, b"soun", b"mp4a", [10, 10, 10], None, at), _track(2, b"vide", b"avc1", [500, 50, 60, 70], [1, 3], at + 30))
+    at = len(file) + len(moov(0)) + 8
+    data = file + moov(at) + media._box(b"mdat", bytes(30), bytes(680))
+    sound, picture = media.probe(data)
+    assert (sound.codec, sound.kind, sound.keyframes) == ("mp4a", "soun", [(at, at + 10), (at + 10, at + 20), (at + 20, at + 30)])
+    assert (picture.codec, picture.kind, picture.keyframes) == ("avc1", "vide", [(at + 30, at + 530), (at + 580, at + 640)])
+    row = media.features(data)
+    assert (row["codec"], row["tracks"], row["payload_bytes"], row["keyframe_ranges"]) == ("avc1", 2, 680, [at + 30, at + 530, at + 580, at + 640]) and math.isclose(row["duration"], 0.04)
+
+
+def test_fragments_are_read():
+    box, full, u = media._box, media._full, media._u32s
+    head = box(b"ftyp", b"isom", u(512)) + box(b"moov", _track(1, b"vide", b"avc1", [], [], 0), box(b"mvex", full(b"trex", u(1, 1, 10, 0, media.NO_SYNC))))
+    out, want = head, []
+    for sizes in ([100, 20, 30], [90, 10]):
+        moof = lambda to: box(b"moof", full(b"mfhd", u(1)), box(b"traf", full(b"tfhd", u(1), flags=0x20000), full(b"trun", u(len(sizes), to, 0, *sizes), flags=0x1 | 0x4 | 0x200)))  # noqa: E731, B023
+        start = len(out) + len(moof(0)) + 8
+        want.append((start, start + sizes[0]))
+        out += moof(start - len(out)) + box(b"mdat", bytes(sum(sizes)))
+    (track,) = media.probe(out)
+    assert track.keyframes == want and track.samples == 5 and math.isclose(track.duration, 0.05) and len(media.payload_of(out, track)) == 250
+
+
+def test_broken_containers_are_rows_with_an_error(spark):
+    good = media.mux(media.pad(b"text"))
+    deep = b""
+    for _ in range(3000):
+        deep = media._box(b"moov", deep)
+    blobs = [good, None, b"", b"no container at all", good[:-1], good[: len(good) // 2], deep, good.replace(b"stsz", b"free"), good.replace(b"mdhd", b"free"), media._box(b"moov", media._box(b"trak"))]
+    d = spark.createDataFrame([(i, b, "mine", "kept") for i, b in enumerate(blobs)], "doc_id bigint, media binary, codec string, note string")
+    rows = {r.doc_id: r for r in media.inspect(d).collect()}
+    assert len(rows) == len(blobs) and rows[0].error is None and rows[0].codec == "raw" and rows[0].payload_bytes == 192
+    assert all(rows[i].error and rows[i].payload_bytes is None and rows[i].note == "kept" for i in range(1, len(blobs)))
+    for i in range(0, len(good), 7):  # any damaged byte gives features or an error, never a crash
+        media.features(good[:i] + bytes([good[i] ^ 0xFF]) + good[i + 1 :])
 
 
 def test_secrets_base_spans(docs, empty):

@@ -34,7 +34,7 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    columns = ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "codec", "duration", "keyframe_ranges")
     return media.media_columns(_table(spark, sf_dir, "documents")).select(*columns)
 
 
