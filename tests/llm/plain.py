@@ -56,5 +56,5 @@ def sha(text: str) -> str:
 def nearest(rows: list[tuple], query: int, k: int) -> list[tuple[int, float]]:
     vec = {i: np.array(v, float) for i, v in rows if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v) and any(c for c in v)}
     q = vec[query]
-    scored = [(-(float((q * v).sum()) / (np.sqrt((q * q).sum()) * np.sqrt((v * v).sum()))), i) for i, v in vec.items() if i != query]
+    scored = [(-(float((q * v).sum()) / (np.sqrt((q * q).sum()) * np.sqrt((v * v).sum()))), i) for i, v in vec.items() if i != query and len(v) == len(q)]
     return [(i, -s) for s, i in sorted(scored)[:k]]

@@ -3,7 +3,12 @@
 Equal vectors are one class.  Centroids come from balanced k-means on a bounded sample; each class is put on the lists of
 its nearest centroid and of those hardly farther (boundary classes are replicated), found by a beam search of a graph of
 the centroids.  A query searches the same graph and reads the lists whose centroids are within a ratio of the nearest.
-Long lists are read in parts.  Scores are exact cosines of the original vectors.
+Lists hold codes of two bytes a component; the few classes that a query's codes rank first are then scored by their
+original vectors, as exact cosines.
+
+The driver's centroids are bounded, so in large tables their lists are long; long lists are cut again, by centroids of
+their own, which are fitted and searched in tasks.  What a query reads so stays the same, whatever the table's size.
+Vectors of unlike lengths have lists of their own and are never compared.
 """
 
 from __future__ import annotations
@@ -12,69 +17,101 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from .common import materialize
 
-#: Classes of a list on average; the most lists; the bound of the sample that centroids are fitted on.
+#: Classes of a list on average; the most lists whose centroids the driver fits; the bound of its sample.
 LIST = 256
 MOST_LISTS = 16_384
 SAMPLE = 65_536
 #: Lists that a class is on at most, and how much farther than the nearest their centroids may be.
-COPIES, BOUNDARY = 4, 1.15
+COPIES, BOUNDARY = 3, 1.15
 #: Lists that a query reads at most and at least, and how much farther than the nearest their centroids may be.
 PROBES, LEAST_PROBES, REACH = 96, 8, 1.35
+#: The same for the pieces of a long list.
+PIECES, LEAST_PIECES = 32, 4
 #: Neighbours in the graph; width of the beam when vectors are put on lists.
 DEGREE, BEAM = 24, 24
-#: Classes of a part of a list.
+#: Classes of a list that one task fits or cuts at a time; vectors of a piece that its centroids are fitted on.
 PART = 4096
+FITTED = 32
+#: Classes of each query that are scored by their original vectors.
+REFINED = 16
+#: Scale of codes: components of unit vectors to two bytes.
+SCALE = 32_767
+#: Bytes of vectors in a partition.
+PARTITION_BYTES = 64 << 20
+
+
+def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, str]:
+    """id, v of the rows that take part, and the numpy type of v's components."""
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, FloatType)
+    v = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("v"))
+    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return v.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(~bad & F.exists("v", lambda x: x != 0)), "<f4" if single else "<f8"
+
+
+def _bytes(column: pa.Array, kind: str) -> list[bytes]:
+    """Each vector's components as bytes; -0 becomes 0, so that equal vectors are equal bytes."""
+    raw = (column.flatten().to_numpy(zero_copy_only=False).astype(kind) + 0).astype(kind).tobytes()
+    at = (column.offsets.to_numpy() - column.offsets[0].as_py()) * np.dtype(kind).itemsize
+    return [raw[a:b] for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
 
 
-def classes(vectors: DataFrame, keep: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """vec (bytes of doubles), ids: the `keep` smallest ids of each distinct vector that takes part.
+def _by_length(vectors: list[bytes], kind: str):
+    """(length, places, matrix of doubles) for the vectors of each length."""
+    places: dict[int, list[int]] = {}
+    for i, v in enumerate(vectors):
+        places.setdefault(len(v), []).append(i)
+    for n, at in places.items():
+        yield n // np.dtype(kind).itemsize, np.array(at), np.frombuffer(b"".join([vectors[i] for i in at]), kind).reshape(len(at), -1).astype(np.float64)
 
-    Vectors that are null, zero, or hold a null or non-finite component are left out, and so are null ids and vectors
-    of another length than the most frequent (the shorter at a tie).  Copies are reduced before the shuffle.
+
+def classes(valid: DataFrame, kind: str, keep: int, parts: int) -> DataFrame:
+    """h (a hash of vec), vec (bytes), ids: the `keep` smallest ids of each distinct vector.
+
+    Copies are reduced before the exchange, which is by h, so what is joined by h meets them there.
     """
-    whole = _valid(vectors, id_col, vector_col)
-    sizes = whole.groupBy(F.size("v").alias("n")).count().orderBy(F.col("count").desc(), "n").limit(1).collect()
-    dim = sizes[0][0] if sizes else 0
-    some = whole.where(F.size("v") == dim)
 
     def reduce(batches):
         for batch in batches:
-            x = _matrix(batch.column(1), dim)
             found: dict[bytes, list[int]] = {}
-            for i, v in sorted(zip(batch.column(0).to_pylist(), map(bytes, x), strict=True)):
+            for i, v in sorted(zip(batch.column(0).to_pylist(), _bytes(batch.column(1), kind), strict=True)):
                 ids = found.setdefault(v, [])
                 if len(ids) < keep and (not ids or ids[-1] != i):
                     ids.append(i)
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.list_(pa.int64()))], names=["vec", "ids"])
 
-    parts = some.mapInArrow(reduce, "vec binary, ids array<bigint>")
-    return parts.groupBy("vec").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids"))
+    reduced = valid.mapInArrow(reduce, "vec binary, ids array<bigint>").select(F.xxhash64("vec").alias("h"), "vec", "ids").repartition(parts, "h")
+    return reduced.groupBy("h", "vec").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids"))
 
 
-def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    v = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return v.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(~bad & F.exists("v", lambda x: x != 0))
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest components near 1: squares neither overflow nor vanish, and nothing is rounded."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """Rows of doubles; -0 becomes 0, so that equal vectors are equal bytes."""
-    return np.asarray(column.flatten(), np.float64).reshape(-1, dim) + 0.0
+def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def _rows(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of each row of x with that of y, in doubles."""
+    x, y = scaled(x), scaled(y)
+    return (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
 
 
-def unit(x: np.ndarray) -> np.ndarray:
-    big = np.abs(x).max(axis=1, keepdims=True)
-    x = x / big
-    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+def codes(x: np.ndarray) -> list[bytes]:
+    return [c.tobytes() for c in np.rint(x * SCALE).astype("<i2")]
+
+
+def _decoded(column: pa.ChunkedArray) -> np.ndarray:
+    raw = b"".join(column.to_pylist())
+    return np.frombuffer(raw, "<i2").reshape(len(column), -1).astype(np.float32) / SCALE
 
 
 @dataclass
@@ -140,8 +177,10 @@ def balanced_centroids(x: np.ndarray, k: int, rounds: int = 10, seed: int = 7) -
     return c.astype(np.float32)
 
 
-def build(sample: np.ndarray, n: int) -> Index:
-    """Index for n classes from a sample of their vectors."""
+def build(sample: np.ndarray, n: int, dim: int) -> Index:
+    """Index for n classes from a sample of their vectors; without a sample one list."""
+    if not len(sample):
+        return Index(np.eye(1, dim, dtype=np.float32), np.zeros((1, 1), np.int64), np.zeros(1, np.int64))
     x = unit(sample)
     k = int(max(1, min(MOST_LISTS, len(x) // 4 or 1, -(-n // LIST))))
     c = balanced_centroids(x, k)
@@ -157,105 +196,249 @@ def build(sample: np.ndarray, n: int) -> Index:
     return Index(c, graph, rng.choice(k, min(k, 32), replace=False))
 
 
-def _lists(index: Index, x: np.ndarray, beam: int, ratio: float, most: int, least: int, spread: bool) -> list[np.ndarray]:
-    """For each unit vector its lists: centroids within ratio of the nearest one's distance; spread leaves out those nearer to one already taken."""
-    out = []
-    for at in range(0, len(x), 512):
-        ids, dist = index.nearest(x[at : at + 512], beam)
-        for row, d in zip(ids, dist, strict=True):
-            row, d = row[row >= 0], d[row >= 0]
-            keep = (d <= ratio * d[0] + 1e-6) | (np.arange(len(d)) < least)
-            row, d = row[keep], d[keep]
-            if spread:
-                taken: list[int] = []
-                for c, e in zip(row.tolist(), d.tolist(), strict=True):
-                    if len(taken) >= most:
-                        break
-                    if all(2 - 2 * float(index.centroids[c] @ index.centroids[t]) >= e * e for t in taken):
-                        taken.append(c)
-                row = np.array(taken)
-            out.append(row[:most])
-    return out
-
-
-def _placed(frame: DataFrame, index, beam: int, ratio: float, most: int, least: int, spread: bool) -> DataFrame:
+def spread(index: Index, ids: np.ndarray, dist: np.ndarray, keep: np.ndarray, most: int) -> np.ndarray:
+    """Of the centroids to keep, nearest first, at most `most` for each row (else -1), without those nearer to one already taken."""
+    taken, n = np.full((len(ids), most), -1), np.zeros(len(ids), np.int64)
+    for j in range(ids.shape[1]):
+        good = keep[:, j] & (n < most)
+        if not good.any():
+            break
+        apart = 2 - 2 * np.einsum("bd,bmd->bm", index.centroids[ids[:, j]], index.centroids[taken])
+        good &= ((taken < 0) | (apart >= dist[:, j, None] ** 2)).all(axis=1)
+        r = np.flatnonzero(good)
+        taken[r, n[r]] = ids[r, j]
+        n[r] += 1
+    return taken
+
+
+@dataclass
+class Lists:
+    """What all tasks know: for each length its index and the number of its first list; for each list its parts and pieces."""
+
+    kind: str
+    indexes: dict[int, Index]
+    first: dict[int, int]
+    parts: np.ndarray
+    pieces: np.ndarray
+
+    def of(self, dim: int, x: np.ndarray, beam: int, ratio: float, most: int, least: int, spread_out: bool) -> np.ndarray:
+        """Lists of unit vectors, -1 where there are no more: centroids within ratio of the nearest one's distance."""
+        index, out = self.indexes[dim], []
+        for at in range(0, len(x), 512):
+            ids, dist = index.nearest(x[at : at + 512], beam)
+            keep = (ids >= 0) & ((dist <= ratio * dist[:, :1] + 1e-6) | (np.arange(ids.shape[1]) < least))
+            if spread_out:
+                own = spread(index, ids, dist, keep, most)
+            else:
+                own = np.where(keep & (np.cumsum(keep, axis=1) <= most), ids, -1)
+            out.append(np.pad(own, ((0, 0), (0, max(0, most - own.shape[1]))), constant_values=-1)[:, :most])
+        out = np.concatenate(out)
+        return np.where(out >= 0, out + self.first[dim], -1)
+
+
+def fit(packed: DataFrame, sizes: dict[int, int], kind: str) -> Lists:
+    """Lists for packed (vec) with so many vectors of each length, from a sample of at most SAMPLE distinct ones, chosen by hash."""
+    n = sum(sizes.values())
+    some = packed.select("vec").where(F.pmod(F.xxhash64(F.lit(5), "vec"), F.lit(1_000_000)) < F.lit(min(1.0, 0.8 * SAMPLE / n) * 1e6)).distinct().limit(SAMPLE)
+    samples = {dim: x for dim, _, x in _by_length(some.toArrow().column(0).to_pylist(), kind)}
+    lists = Lists(kind, {}, {}, np.empty(0, np.int64), np.empty(0, np.int64))
+    shares, first = [], 0
+    for dim, count in sorted(sizes.items()):
+        x = samples.get(dim, np.empty((0, dim)))
+        index = lists.indexes[dim] = build(x, count, dim)
+        lists.first[dim] = first
+        first += len(index.centroids)
+        # How long each list will be, by the sample.
+        put = np.ones(len(index.centroids)) if not len(x) else np.bincount((lambda f: f[f >= 0])(lists.of(dim, unit(x), BEAM, BOUNDARY, COPIES, 1, True).ravel()) - lists.first[dim], minlength=len(index.centroids))
+        shares.append(put * count / max(1, len(x)) if len(x) else put * count)
+    size = np.concatenate(shares)
+    lists.parts = np.maximum(1, np.ceil(size / PART)).astype(np.int64)
+    lists.pieces = np.where(size > 4 * LIST, np.ceil(size / LIST), 1).astype(np.int64)
+    return lists
+
+
+def posted(own: DataFrame, lists) -> DataFrame:
+    """list, part, h, code of each class on each of its lists."""
+
+    def run(batches):
+        known = lists.value
+        for batch in batches:
+            hs = batch.column(0).to_numpy()
+            for dim, at, x in _by_length(batch.column(1).to_pylist(), known.kind):
+                u = unit(x)
+                on = known.of(dim, u, BEAM, BOUNDARY, COPIES, 1, True)
+                row, col = np.nonzero(on >= 0)
+                number, h, code = on[row, col], hs[at][row], codes(u)
+                part = (h >> 7) % known.parts[number]
+                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(part), pa.array(h), pa.array([code[r] for r in row], pa.binary())], names=["list", "part", "h", "code"])
+
+    return own.select("h", "vec").mapInArrow(run, "list bigint, part bigint, h bigint, code binary")
+
+
+def probed(queries: DataFrame, lists) -> DataFrame:
+    """list, part, qid, code of each query (qid, vec) and each part of each list that it reads."""
+
     def run(batches):
+        known = lists.value
+        for batch in batches:
+            qids = batch.column(0).to_numpy()
+            for dim, at, x in _by_length(batch.column(1).to_pylist(), known.kind):
+                if dim not in known.indexes:
+                    continue
+                u = unit(x)
+                on = known.of(dim, u, PROBES, REACH, PROBES, LEAST_PROBES, False)
+                row, col = np.nonzero(on >= 0)
+                times = known.parts[on[row, col]]
+                row, number = np.repeat(row, times), np.repeat(on[row, col], times)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                code = codes(u)
+                yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(part), pa.array(qids[at][row]), pa.array([code[r] for r in row], pa.binary())], names=["list", "part", "qid", "code"])
+
+    return queries.select("qid", "vec").mapInArrow(run, "list bigint, part bigint, qid bigint, code binary")
+
+
+def piece_centroids(postings: DataFrame, lists) -> DataFrame:
+    """list, parts, centroids (bytes) of each list that is cut: fitted on about FITTED of its classes for each piece."""
+
+    def chosen(batches):
+        known = lists.value
         for batch in batches:
-            if batch.num_rows:
-                lists = _lists(index.value, unit(_rows(batch.column(0))), beam, ratio, most, least, spread)
-                yield batch.append_column("lists", pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32())))
+            number, h = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            # A list's size is about LIST times its pieces, so this share of it is FITTED for each.
+            yield batch.filter(pa.array((known.pieces[number] > 1) & (((h >> 3) & 0xFFFF) < 65536 * FITTED / LIST)))
 
-    return frame.mapInArrow(run, "vec binary, ids array<bigint>, lists array<int>")
+    def fitted(key: tuple, rows: pa.Table) -> pa.Table:
+        x = _decoded(rows.column("code"))
+        k = int(min(lists.value.pieces[key[0].as_py()], max(1, len(x) // 4)))
+        c = balanced_centroids(x / np.maximum(1e-9, np.linalg.norm(x, axis=1, keepdims=True)), k)
+        return pa.table({"list": [key[0].as_py()], "parts": [int(lists.value.parts[key[0].as_py()])], "centroids": pa.array([c.astype("<f4").tobytes()], pa.binary())})
 
+    shape = "list bigint, part bigint, h bigint, code binary"
+    return postings.mapInArrow(chosen, shape).groupBy("list").applyInArrow(fitted, "list bigint, parts bigint, centroids binary")
 
-def _best(k: int):
-    """Of one part of a list: for each of its queries the nearest k + 1 ids."""
+
+def _nearest_pieces(x: np.ndarray, blob: bytes, ratio: float, most: int, least: int) -> np.ndarray:
+    """Pieces of each row, -1 where there are no more."""
+    c = np.frombuffer(blob, "<f4").reshape(-1, x.shape[1])
+    out = []
+    for at in range(0, len(x), 1024):
+        dist = np.sqrt(np.maximum(0, 2 - 2 * x[at : at + 1024] @ c.T))
+        order = np.argsort(dist, axis=1, kind="stable")[:, :most]
+        near = np.take_along_axis(dist, order, axis=1)
+        own = np.where((near <= ratio * near[:, :1] + 1e-6) | (np.arange(order.shape[1]) < least), order, -1)
+        out.append(np.pad(own, ((0, 0), (0, max(0, most - own.shape[1]))), constant_values=-1))
+    return np.concatenate(out)
+
+
+def _cut(columns: tuple[str, ...], ratio: float, most: int, least: int):
+    """Rows of one list (or a part of it) to the pieces of that list; a list without pieces is one."""
+
+    def run(rows: pa.Table, pieces: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return rows.select(columns).append_column("piece", pa.array([], pa.int64()))
+        blobs = pieces.column("centroids").to_pylist()
+        on = _nearest_pieces(_decoded(rows.column("code")), blobs[0], ratio, most, least) if blobs else np.zeros((rows.num_rows, 1), np.int64)
+        row, col = np.nonzero(on >= 0)
+        return rows.select(columns).take(pa.array(row)).append_column("piece", pa.array(on[row, col].astype(np.int64)))
+
+    return run
+
+
+def in_pieces(postings: DataFrame, probes: DataFrame, lists) -> tuple[DataFrame, DataFrame]:
+    """postings and probes with the pieces of their lists.  Each part of a list is cut by itself, with all centroids of the list."""
+    centres = materialize(piece_centroids(postings, lists), "piece-centroids")
+    each = centres.select("list", "centroids", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    cut = postings.groupBy("list", "part").cogroup(each.groupBy("list", "part")).applyInArrow(_cut(("list", "h", "code"), BOUNDARY, 2, 1), "list bigint, h bigint, code binary, piece bigint")
+    asked = probes.where("part = 0").groupBy("list").cogroup(centres.groupBy("list")).applyInArrow(_cut(("list", "qid", "code"), REACH, PIECES, LEAST_PIECES), "list bigint, qid bigint, code binary, piece bigint")
+    return cut, asked
+
+
+def _ranked(m: int):
+    """Of one piece: for each of its queries the m classes whose codes are nearest."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        queries, scores, found = [], [], []
+        scores, found = [], []
         if left.num_rows and right.num_rows:
-            q, x = _rows(left.column("vec").combine_chunks()), _rows(right.column("vec").combine_chunks())
-            ids = right.column("ids").to_pylist()
-            first = np.array([i[0] for i in ids])
-            nx = np.sqrt((x * x).sum(axis=1))
-            uq, ux = q / np.sqrt((q * q).sum(axis=1))[:, None], x / nx[:, None]
+            q, x, h = _decoded(left.column("code")), _decoded(right.column("code")), right.column("h").to_numpy()
+            n = min(m, len(x))
             for at in range(0, len(q), 256):
-                rough = uq[at : at + 256] @ ux.T
-                m = min(rough.shape[1], 2 * k + 4)
-                top = np.argpartition(-rough, m - 1, axis=1)[:, :m]
-                for a, some in zip(q[at : at + 256], top, strict=True):
-                    exact = (x[some] * a).sum(axis=1) / (np.sqrt((a * a).sum()) * nx[some])
-                    order = np.lexsort((first[some], -exact))[: k + 1]
-                    pairs = sorted((-float(exact[o]), i) for o in order for i in ids[some[o]])[: k + 1]
-                    scores.append([-p[0] for p in pairs])
-                    found.append([p[1] for p in pairs])
-            queries = left.column("vec").to_pylist()
-        return pa.table({"vec": pa.array(queries, pa.binary()), "scores": pa.array(scores, pa.list_(pa.float64())), "found": pa.array(found, pa.list_(pa.int64()))})
+                rough = q[at : at + 256] @ x.T
+                top = np.argpartition(-rough, n - 1, axis=1)[:, :n]
+                scores += np.take_along_axis(rough, top, axis=1).tolist()
+                found += h[top].tolist()
+        qids = left.column("qid").to_pylist() if scores else []
+        return pa.table({"qid": pa.array(qids, pa.int64()), "scores": pa.array(scores, pa.list_(pa.float32())), "found": pa.array(found, pa.list_(pa.int64()))})
 
     return run
 
 
+def _exact(kind: str):
+    """qid, qvec, vec, ids to qid, score, ids."""
+
+    def run(batches):
+        for batch in batches:
+            q, x = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            score, good = np.zeros(len(q)), np.array([len(a) == len(b) for a, b in zip(q, x, strict=True)], bool)
+            for _, at, a in _by_length(q, kind):
+                at_good = good[at]
+                if at_good.any():
+                    at, a = at[at_good], a[at_good]
+                    score[at] = cosines(a, np.frombuffer(b"".join([x[i] for i in at]), kind).reshape(len(at), -1).astype(np.float64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), batch.column(3)], names=["qid", "score", "ids"]).filter(pa.array(good))
+
+    return run
+
+
+def _packed(frame: DataFrame, kind: str) -> DataFrame:
+    """id, v to query_id, vec."""
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_bytes(batch.column(1), kind), pa.binary())], names=["query_id", "vec"])
+
+    return frame.mapInArrow(run, "query_id bigint, vec binary")
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row of queries (same columns) its k nearest rows of vectors, itself left out.
 
-    Cosine of the original vectors in double precision, ties to the smaller id.  What takes no part (see classes) gives
-    no rows; fewer than k candidates give fewer rows; repeated rows of one id and vector count once.
+    Cosine of the original vectors in double precision, ties to the smaller id.  Rows with a null id, and vectors that are
+    null, empty, zero, or hold a null or non-finite component, take no part and give no rows.  Vectors of unlike lengths
+    are not compared.  Fewer than k candidates give fewer rows; repeated rows of one id and vector count once.
     """
-    spark = vectors.sparkSession
-    own = materialize(classes(vectors, k + 1, id_col, vector_col), "vector-classes")
-    n = own.count()
-    if not n:
+    spark: SparkSession = vectors.sparkSession
+    valid, kind = _valid(vectors, id_col, vector_col)
+    # Lengths of vectors: one, or few.
+    sizes = {r[0]: r[1] for r in valid.groupBy(F.size("v")).count().collect()}
+    if not sizes:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    share = min(1.0, 0.8 * SAMPLE / n)
-    rows = own.where(F.pmod(F.xxhash64(F.lit(5), "vec"), F.lit(1_000_000)) < F.lit(share * 1e6)).limit(SAMPLE).select("vec").toArrow()
-    if not rows.num_rows:
-        rows = own.limit(1).select("vec").toArrow()
-    index = spark.sparkContext.broadcast(build(_rows(rows.column(0).combine_chunks()), n))
-
-    posted = _placed(own, index, BEAM, BOUNDARY, COPIES, 1, True)
-    posted = materialize(posted.select("vec", "ids", F.explode("lists").alias("list")), "posting-lists")
-    # Only list sizes, at most MOST_LISTS of them, are sent around.
-    sizes = posted.groupBy("list").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")).withColumnRenamed("list", "sized")
-    parted = posted.withColumn("part", F.pmod(F.xxhash64("vec"), F.lit(1 << 20))).join(F.broadcast(sizes), F.col("list") == F.col("sized")).withColumn("part", F.pmod("part", "parts").cast("int")).select("vec", "ids", "list", "part")
-
-    asked = _valid(queries, id_col, vector_col).select(F.col("id").alias("query_id"), _packed("v").alias("vec")).distinct()
-    distinct = asked.select("vec").distinct().select("vec", F.array().cast("array<bigint>").alias("ids"))
-    probes = _placed(distinct, index, PROBES, REACH, PROBES, LEAST_PROBES, False).select("vec", F.explode("lists").alias("list"))
-    probes = probes.join(F.broadcast(sizes), F.col("list") == F.col("sized")).select("vec", "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-
-    read = probes.groupBy("list", "part").cogroup(parted.groupBy("list", "part")).applyInArrow(_best(k), "vec binary, scores array<double>, found array<bigint>")
-    pairs = F.transform(F.arrays_zip("scores", "found"), lambda x: F.struct((-x["scores"]).alias("minus"), x["found"].alias("vec_id")))
-    merged = read.select("vec", pairs.alias("pairs")).groupBy("vec").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("pairs")))), 1, k + 1).alias("pairs"))
-    answers = asked.withColumnRenamed("vec", "asked_vec").join(merged, F.col("asked_vec") == F.col("vec")).select("query_id", F.slice(F.filter("pairs", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("pairs"))
-    out = answers.select("query_id", F.posexplode("pairs").alias("pos", "pair"))
+    size = sum(d * n for d, n in sizes.items()) * np.dtype(kind).itemsize
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    known = fit(_packed(valid, kind), sizes, kind)
+    lists = spark.sparkContext.broadcast(known)
+    # The exchange of classes is shared by the two plans that read them: postings and originals.
+    own = classes(valid, kind, k + 1, parts)
+
+    asked_rows, _ = _valid(queries, id_col, vector_col)
+    asked = _packed(asked_rows.select("id", F.col("v").cast(valid.schema["v"].dataType).alias("v")), kind).distinct()
+    qs = materialize(asked.groupBy("vec").agg(F.array_sort(F.collect_set("query_id")).alias("asking")).withColumn("qid", F.monotonically_increasing_id()), "queries")
+
+    postings, probes = posted(own, lists), probed(qs, lists)
+    if known.pieces.max() > 1:
+        # Cut lists are written: their centroids are fitted on what is then cut by them.
+        postings, probes = in_pieces(materialize(postings, "posting-lists"), probes, lists)
+    else:
+        postings, probes = postings.withColumnRenamed("part", "piece"), probes.withColumnRenamed("part", "piece")
+    read = probes.groupBy("list", "piece").cogroup(postings.groupBy("list", "piece")).applyInArrow(_ranked(REFINED), "qid bigint, scores array<float>, found array<bigint>")
+    pairs = F.transform(F.arrays_zip("scores", "found"), lambda x: F.struct((-x["scores"]).alias("minus"), x["found"].alias("h")))
+    # A class is on several lists, at most so many times among a query's first.
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("pairs"))), 1, REFINED * COPIES * 2)
+    first = read.select("qid", pairs.alias("pairs")).groupBy("qid").agg(F.slice(F.array_distinct(F.transform(best, lambda x: x["h"])), 1, REFINED).alias("hs"))
+    wanted = first.join(qs.select(F.col("qid").alias("of_"), F.col("vec").alias("qvec")), F.col("qid") == F.col("of_")).select("qid", "qvec", F.explode("hs").alias("wanted"))
+    fetched = wanted.join(own, F.col("wanted") == F.col("h")).select("qid", "qvec", "vec", "ids").mapInArrow(_exact(kind), "qid bigint, score double, ids array<bigint>")
+    near = fetched.select("qid", F.transform("ids", lambda i: F.struct((-F.col("score")).alias("minus"), i.alias("vec_id"))).alias("pairs"))
+    merged = near.groupBy("qid").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("pairs")))), 1, k + 1).alias("pairs"))
+    answers = merged.join(qs.select(F.col("qid").alias("of_"), F.explode("asking").alias("query_id")), F.col("qid") == F.col("of_"))
+    listed = answers.select("query_id", F.slice(F.filter("pairs", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("pairs"))
+    out = listed.select("query_id", F.posexplode("pairs").alias("pos", "pair"))
     return out.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("pair.vec_id").alias("vec_id"), (-F.col("pair.minus")).alias("score"))
-
-
-def _packed(column: str):
-    """The bytes of an array of doubles, as numpy has them."""
-
-    @F.pandas_udf("binary")
-    def pack(v):
-        return v.map(lambda a: (np.asarray(a, np.float64) + 0.0).tobytes())
-
-    return pack(column)
