@@ -140,7 +140,7 @@ def test_unicode_paths_match(spark):
 def test_tables(spark):
     rows = [("f.csv", ".csv", 1, i, "Иванов Иван" if i % 2 else "", f"паспорт: 4510 1{i:02d}456", "nan") for i in range(1, 31)]
     wide = spark.createDataFrame(rows, "relative_path string, extension string, size_bytes bigint, row_no int, person string, doc string, junk string")
-    cells = tables.long_cells(wide, ["person", "doc", "junk"])
+    cells = tables.wide_rows(wide, ["person", "doc", "junk"])
     a = tables.summarise(cells).first().table_analysis
     assert (a.rows_analyzed, a.columns_total, a.sheets) == (30, 3, ["csv"]) and 25 <= a.rows_with_pii <= 30
     assert a.rows_with_sensitive_combo == a.row_combinations["full_name+passport_rf"] > 10 and a.combo_row_ratio == round(a.rows_with_sensitive_combo / 30, 4)
@@ -153,8 +153,9 @@ def test_tables(spark):
 
 
 def test_video(spark):
-    assert spark.range(1).select(video.frame_times(F.lit(8.1), 5).alias("x")).first().x == [0.0, 2.0, 4.0, 6.0, 8.0]
-    assert spark.range(1).select(video.frame_times(F.lit(None).cast("double"), 3).alias("x")).first().x == [0.0, 5.0, 10.0]
+    assert spark.range(1).select(video.frame_times(F.lit(8.1), 5).alias("x")).first().x == [0.0, 2.0, 4.0, 6.0, 8.0] == video.times(8.1, 5)
+    assert spark.range(1).select(video.frame_times(F.lit(None).cast("double"), 3).alias("x")).first().x == [0.0, 0.5, 1.0] == video.times(None, 3)
+    assert len(spark.range(1).select(video.frame_times(F.lit(1.7)).alias("x")).first().x) == 3 == len(video.times(1.7)) and video.times(0.2) == [0.0]
     c = [(1, 1, "rus", "full/x a", 100, "a" * 30, 0), (1, 1, "rus", "full/x b", 90, "b" * 30, 1), (1, 2, "rus", "full/x a", 80, "A" * 30, 2), (1, 3, "rus", "band/x", 60, "c" * 30, 3), (1, 4, "rus", "band/x", 44, "d" * 30, 4), (1, 0, "rus", "full/x", 50, "e" * 30, 5)]
     d = spark.createDataFrame(c, "video int, frame int, language string, variant string, score int, text string, seq int")
     got = video.snippets(d).first().snippets

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import vocab as V
 from ..functions.text import file_id
+from ..session import written
 
 
 def status(name: Column, extension: Column, size: Column, limit_mb: float = 100.0) -> tuple[Column, Column]:
@@ -54,7 +55,9 @@ def path_variants(paths):
     """A path as it is, composed and decomposed; Spark has no Unicode normalisation."""
     import unicodedata
 
-    def three(p: str) -> list[str]:
+    def three(p: str | None) -> list[str]:
+        if p is None:
+            return []
         p = p.replace("\\", "/")
         return list(dict.fromkeys([p, unicodedata.normalize("NFC", p), unicodedata.normalize("NFD", p)]))
 
@@ -91,10 +94,10 @@ def match_texts(texts: DataFrame, files: DataFrame) -> DataFrame:
 def with_order(frame: DataFrame, by: str, name: str = "ord") -> DataFrame:
     """frame with each row's place in the order of a column, from 0, without putting all rows in one task.
 
-    Rows are range-partitioned and sorted, and kept so; places inside a partition are shifted by the sizes of those before it.
+    Rows are range-partitioned and sorted, and written so; places inside a partition are shifted by the sizes of those before it.
     """
-    spread = frame.repartitionByRange(by).sortWithinPartitions(by).withColumn("row_", F.monotonically_increasing_id()).persist()
-    return _numbered(spread, name)
+    spread = frame.repartitionByRange(by).sortWithinPartitions(by).withColumn("row_", F.monotonically_increasing_id())
+    return _numbered(written(spread, "ordered"), name)
 
 
 def _numbered(spread: DataFrame, name: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Personal data in tables, by row and by column.
 
-Input is the long form of tables, cells(relative_path, extension, size_bytes, sheet, row_no, col_no, col_name, value),
-with row_no from 1 in each sheet.  Row 0 names the columns of a sheet without rows, and a column
-problem, where there is one, says why a table can't be read.  Rows and columns become probe texts that go through detect(), then summaries.
+Input is one row for each row of a table: rows(relative_path, extension, size_bytes, sheet, row_no, cells), with row_no
+from 1 in each sheet and cells an array of (col_no, col_name, value).  Row 0 names the columns of a sheet without rows,
+and a column problem, where there is one, says why a table can't be read.  Rows become probe texts where they are;
+columns gather the first values of each.  Probes go through detect(), then summaries.
 """
 
 from __future__ import annotations
@@ -20,26 +21,26 @@ ROW_DETAIL, COLUMN_SAMPLE, TOP_COMBOS, TOP_COLUMNS, TOP_SENSITIVE = 5000, 300, 5
 FILE = ("relative_path", "extension", "size_bytes")
 
 
-def long_cells(table: DataFrame, columns: list[str], sheet: str = "csv", row_no: str = "row_no", keep: tuple[str, ...] = FILE) -> DataFrame:
-    """A wide table with file columns and row numbers as cells, in one pass; null values stay null."""
+def wide_rows(table: DataFrame, columns: list[str], sheet: str = "csv", row_no: str = "row_no", keep: tuple[str, ...] = FILE) -> DataFrame:
+    """A wide table with file columns and row numbers as rows with cells; null values stay null."""
     cells = F.array(*(F.struct(F.lit(i).alias("col_no"), F.lit(c).alias("col_name"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)))
-    return table.select(*keep, F.lit(sheet).alias("sheet"), F.col(row_no).cast("int").alias("row_no"), F.explode(cells).alias("cell")).select(*keep, "sheet", "row_no", "cell.*")
+    return table.select(*keep, F.lit(sheet).alias("sheet"), F.col(row_no).cast("int").alias("row_no"), cells.alias("cells"))
 
 
-def column_probes(cells: DataFrame) -> DataFrame:
+def column_probes(rows: DataFrame) -> DataFrame:
     """sheet:column and a text of its name and first values, blank ones too."""
-    first = cells.where((F.col("row_no") <= COLUMN_SAMPLE) & F.col("col_no").isNotNull())
+    first = rows.where(F.col("row_no") <= COLUMN_SAMPLE).select(*FILE, "sheet", "row_no", F.explode("cells").alias("cell")).select(*FILE, "sheet", "row_no", "cell.*")
     listed = F.transform(F.array_sort(F.collect_list(F.when(F.col("row_no") > 0, F.struct("row_no", F.coalesce("value", F.lit("")).alias("value"))))), lambda x: x["value"])
     grouped = first.groupBy(*FILE, "sheet", "col_no", "col_name").agg(listed.alias("values_"))
     return grouped.select(*FILE, F.concat("sheet", F.lit(":"), "col_name").alias("column"), F.array_join(F.concat(F.array("col_name"), "values_"), " | ").alias("text"))
 
 
-def row_probes(cells: DataFrame) -> DataFrame:
-    """A text `ROW n: column: value | ...` of every detailed row with values; blank and nan values are left out."""
-    full = cells.where((F.col("row_no") <= ROW_DETAIL) & F.col("value").isNotNull() & (F.col("value") != "") & (F.lower("value") != "nan"))
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col_no", F.concat("col_name", F.lit(": "), "value").alias("text")))), lambda x: x["text"]), " | ")
-    grouped = full.groupBy(*FILE, "sheet", "row_no").agg(listed.alias("line_"))
-    return grouped.select(*FILE, "sheet", "row_no", F.concat(F.lit("ROW "), F.col("row_no").cast("string"), F.lit(": "), F.col("line_")).alias("text"))
+def row_probes(rows: DataFrame) -> DataFrame:
+    """A text `ROW n: column: value | ...` of every detailed row with values; blank and nan values are left out.  A projection."""
+    full = F.filter("cells", lambda c: c["value"].isNotNull() & (c["value"] != "") & (F.lower(c["value"]) != "nan"))
+    line = F.array_join(F.transform(full, lambda c: F.concat(c["col_name"], F.lit(": "), c["value"])), " | ")
+    detailed = rows.where(F.col("row_no").between(1, ROW_DETAIL)).select(*FILE, "sheet", "row_no", line.alias("line_"))
+    return detailed.where("line_ != ''").select(*FILE, "sheet", "row_no", F.concat(F.lit("ROW "), F.col("row_no").cast("string"), F.lit(": "), F.col("line_")).alias("text"))
 
 
 def _names(probes: DataFrame) -> DataFrame:
@@ -59,16 +60,16 @@ def sensitive_combo(names: Column) -> Column:
     return (F.array_contains(names, "full_name") & (sensitive > 0)) | (sensitive >= 2) | (F.size(_within(names, V.IDENTIFIER_TABLE)) >= 3)
 
 
-def row_categories(cells: DataFrame) -> DataFrame:
+def row_categories(rows: DataFrame) -> DataFrame:
     """FILE, sheet, row_no, names, sensitive, combo (identifiers joined by +, or null) of rows in which something is found."""
-    rows = _names(row_probes(cells)).select(*FILE, "sheet", "row_no", "names")
+    found = _names(row_probes(rows)).select(*FILE, "sheet", "row_no", "names")
     both = F.array_join(F.array_sort(_within(F.col("names"), V.IDENTIFIER_TABLE)), "+")
-    return rows.withColumns({"sensitive": F.size(_within(F.col("names"), V.SENSITIVE_TABLE)) > 0, "is_combo": sensitive_combo(F.col("names")), "combo": F.when(sensitive_combo(F.col("names")) & (both != ""), both)})
+    return found.withColumns({"sensitive": F.size(_within(F.col("names"), V.SENSITIVE_TABLE)) > 0, "is_combo": sensitive_combo(F.col("names")), "combo": F.when(sensitive_combo(F.col("names")) & (both != ""), both)})
 
 
-def column_categories(cells: DataFrame) -> DataFrame:
+def column_categories(rows: DataFrame) -> DataFrame:
     """FILE, column, names of columns in which something is found."""
-    return _names(column_probes(cells)).select(*FILE, "column", "names")
+    return _names(column_probes(rows)).select(*FILE, "column", "names")
 
 
 def combos(rows: DataFrame, top: int = TOP_COMBOS) -> DataFrame:
@@ -78,21 +79,21 @@ def combos(rows: DataFrame, top: int = TOP_COMBOS) -> DataFrame:
     return counted.withColumn("place", place).where(F.col("place") <= top).select("relative_path", "combo", "rows", "place")
 
 
-def summarise(cells: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """relative_path and table_analysis for every file with cells.
+def summarise(table_rows: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """relative_path and table_analysis for every file with rows.
 
     Sheets are cut at max_rows rows.  Ratios are to all analysed rows.
     """
-    cells = cells.where(F.col("row_no") <= max_rows)
-    sheets = cells.groupBy("relative_path", "sheet").agg(F.max("row_no").alias("n"), F.count_distinct("col_no").alias("c"))
-    problems = cells.groupBy("relative_path").agg(F.max("problem").alias("problem")) if "problem" in cells.columns else None
+    kept = table_rows.where(F.col("row_no") <= max_rows)
+    sheets = kept.groupBy("relative_path", "sheet").agg(F.max("row_no").alias("n"), F.coalesce(F.max(F.size("cells")), F.lit(0)).alias("c"))
+    problems = kept.groupBy("relative_path").agg(F.max("problem").alias("problem")) if "problem" in kept.columns else None
     shape = sheets.groupBy("relative_path").agg(F.sum("n").cast("int").alias("rows_analyzed"), F.sum("c").cast("int").alias("columns_total"), F.array_sort(F.collect_set("sheet")).alias("sheets"), F.sum(F.least("n", F.lit(ROW_DETAIL))).cast("int").alias("detail"))
-    rows = row_categories(cells)
+    rows = row_categories(kept)
     per_row = rows.groupBy("relative_path").agg(F.count("*").cast("int").alias("rows_with_pii"), F.count_if("sensitive").cast("int").alias("rows_with_sensitive_pii"), F.count_if("is_combo").cast("int").alias("rows_with_sensitive_combo"))
     by_category = rows.select("relative_path", F.explode("names").alias("category")).groupBy("relative_path", "category").count()
     by_category = by_category.groupBy("relative_path").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "count")))).alias("category_row_counts"))
     ranked = combos(rows).groupBy("relative_path").agg(F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("place", "combo", "rows"))), lambda x: F.struct(x["combo"], x["rows"]))).alias("row_combinations"))
-    found = column_categories(cells).select("relative_path", "column", F.explode("names").alias("category"))
+    found = column_categories(kept).select("relative_path", "column", F.explode("names").alias("category"))
     listed = found.groupBy("relative_path", "category").agg(F.slice(F.array_sort(F.collect_set("column")), 1, TOP_COLUMNS).alias("columns"))
     columns = listed.groupBy("relative_path").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "columns")))).alias("pii_columns"), F.sum(F.size("columns")).cast("int").alias("pii_column_count"))
     private = found.where(F.col("category").isin(*V.SENSITIVE_TABLE, *V.IDENTIFIER_TABLE)).groupBy("relative_path").agg(F.slice(F.array_sort(F.collect_set("column")), 1, TOP_SENSITIVE).alias("sensitive_columns"))

@@ -7,15 +7,23 @@ from pyspark.sql import functions as F
 
 from .quality import fingerprint, ocr_score
 
-FRAMES, OCR_FRAMES, FRAME_CANDIDATES, SNIPPETS, INTERVAL = 8, 4, 6, 5, 5.0
+FRAMES, OCR_FRAMES, FRAME_CANDIDATES, SNIPPETS, INTERVAL = 8, 4, 6, 5, 0.5
 
 
 def frame_times(duration: Column, frames: int = FRAMES, interval: float = INTERVAL) -> Column:
-    """Evenly spaced seconds up to a tenth before the end; multiples of the interval where the duration isn't known."""
-    if frames <= 1:
-        return F.array(F.lit(0.0))
-    step = F.when(F.coalesce(duration, F.lit(0.0)) > 0, F.greatest(duration - 0.1, F.lit(0.0)) / (frames - 1)).otherwise(F.lit(interval))
-    return F.transform(F.sequence(F.lit(0), F.lit(frames - 1)), lambda i: i * step)
+    """Evenly spaced seconds up to a tenth before the end, one for each interval and `frames` at most; multiples of the interval where the duration isn't known."""
+    known = F.coalesce(duration, F.lit(0.0)) > 0
+    n = F.when(known, F.least(F.lit(frames), F.greatest(F.lit(1), F.floor(duration / interval).cast("int")))).otherwise(frames)
+    step = F.when(known, F.greatest(duration - 0.1, F.lit(0.0)) / F.greatest(n - 1, F.lit(1))).otherwise(F.lit(interval))
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: i * step)
+
+
+def times(duration: float | None, frames: int = FRAMES, interval: float = INTERVAL) -> list[float]:
+    """The same for one video."""
+    known = bool(duration and duration > 0)
+    n = min(frames, max(1, int(duration / interval))) if known else frames
+    step = max(duration - 0.1, 0.0) / max(n - 1, 1) if known else interval
+    return [i * step for i in range(n)]
 
 
 def frame_score(edge_density: Column, contrast: Column, mid_brightness: Column) -> Column:
@@ -40,15 +48,60 @@ def frame_candidates(candidates: DataFrame, video: str = "video", n: int = FRAME
     return candidates.withColumn("rank_", rank).where(F.col("rank_") <= n).drop("rank_")
 
 
-def regions(width: Column, height: Column) -> Column:
-    """Named boxes (x0, y0, x1, y1) of a frame that are read: the whole and three bands, small and repeated ones left out."""
-    part = lambda size, share: F.floor(size * share).cast("int")
-    zero = F.lit(0)
+#: Bands of an upright and of a wide frame: left, top, right, bottom as hundredths of width and height (fixed values).
+UPRIGHT = (("middle_band", 0, 22, 100, 78), ("document_band", 0, 30, 100, 72), ("lower_band", 0, 32, 100, 85))
+WIDE = (("center_band", 8, 0, 92, 100), ("middle_strip", 10, 12, 90, 88), ("lower_strip", 8, 30, 92, 100))
+LEAST_SIDE = 80
+
+
+def regions(width: Column, height: Column, document: Column | None = None) -> Column:
+    """Named boxes (x0, y0, x1, y1) of a frame that are read: the whole, three bands and the box of a document where one was found.
+
+    Boxes are clamped to the frame; those with a side under LEAST_SIDE and repeated ones are left out.
+    """
+    part = lambda size, share: F.floor(size * (share / 100)).cast("int")
     box = lambda name, *xs: F.struct(F.lit(name).alias("name"), F.array(*xs).alias("box"))
-    tall = [box("middle_band", zero, part(height, 0.22), width, part(height, 0.78)), box("document_band", zero, part(height, 0.30), width, part(height, 0.72)), box("lower_band", zero, part(height, 0.32), width, part(height, 0.85))]
-    wide = [box("center_band", part(width, 0.08), zero, part(width, 0.92), height), box("middle_strip", part(width, 0.10), part(height, 0.12), part(width, 0.90), part(height, 0.88)), box("lower_strip", part(width, 0.08), part(height, 0.30), part(width, 0.92), height)]
-    boxes = F.concat(F.array(box("full", zero, zero, width, height)), F.when(height >= width, F.array(*tall)).otherwise(F.array(*wide)))
-    return F.filter(boxes, lambda b: (b["box"][2] - b["box"][0] >= 80) & (b["box"][3] - b["box"][1] >= 80))
+    banded = lambda kinds: F.array(*(box(n, part(width, a), part(height, b), part(width, c), part(height, d)) for n, a, b, c, d in kinds))
+    boxes = F.concat(F.array(box("full", F.lit(0), F.lit(0), width, height)), F.when(height >= width, banded(UPRIGHT)).otherwise(banded(WIDE)))
+    if document is not None:
+        found = box("detected_document_1", F.greatest(F.lit(0), document[0]), F.greatest(F.lit(0), document[1]), F.least(width, document[2]), F.least(height, document[3]))
+        boxes = F.concat(boxes, F.when(document.isNotNull(), F.array(found)).otherwise(F.filter(boxes, lambda _: F.lit(False))))
+    large = F.filter(boxes, lambda b: (b["box"][2] - b["box"][0] >= LEAST_SIDE) & (b["box"][3] - b["box"][1] >= LEAST_SIDE))
+    return F.filter(large, lambda b, i: F.array_position(F.transform(large, lambda o: o["box"]), b["box"]) == i + 1)
+
+
+def bands(width: int, height: int, document: tuple[int, int, int, int] | None = None) -> list[tuple[str, tuple[int, int, int, int]]]:
+    """The same for one frame."""
+    out = [("full", (0, 0, width, height))]
+    out += [(n, (int(width * (a / 100)), int(height * (b / 100)), int(width * (c / 100)), int(height * (d / 100)))) for n, a, b, c, d in (UPRIGHT if height >= width else WIDE)]
+    if document:
+        out.append(("detected_document_1", (max(0, document[0]), max(0, document[1]), min(width, document[2]), min(height, document[3]))))
+    first = {box: name for name, box in reversed(out) if box[2] - box[0] >= LEAST_SIDE and box[3] - box[1] >= LEAST_SIDE}
+    return [(name, box) for name, box in out if first.get(box) == name]
+
+
+def text_score(text: str) -> int:
+    """quality.ocr_score of one text."""
+    t = text.strip()
+    if len(t) < 12:
+        return 0
+    words = sum(sum(map(str.isalpha, w)) >= 3 for w in t.split())
+    symbols = sum(not c.isalnum() and not c.isspace() for c in t)
+    return words * 12 + sum(map(str.isdigit, t)) * 2 + sum(map(str.isalnum, t)) + t.count("\n") - symbols * 3
+
+
+def best_snippets(candidates: list[tuple[int, int, str, str, str]], most: int = SNIPPETS) -> list[str]:
+    """snippets() of one video: candidates are (score, frame, language, variant, text) in their order."""
+    least = max(35, int(max((c[0] for c in candidates), default=0) * 0.45))
+    taken: set = set()
+    kept = []
+    for score, frame, language, variant, text in sorted(candidates, key=lambda c: -c[0]):
+        mark = "".join(c.lower() for c in text if c.isalnum())[:120]
+        place = (frame, variant.split(" ", 1)[0])
+        if score >= least and len(kept) < most and len(mark) >= 20 and not taken & {mark, place}:
+            taken |= {mark, place}
+            kept.append((frame, f"[frame_{frame:04d}; {language}; {variant}; score={score}]\n{text}"))
+    return [text for _, text in sorted(kept, key=lambda k: k[0])]
 
 
 KEPT = "struct<frame:int,language:string,variant:string,score:int,text:string>"

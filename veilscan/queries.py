@@ -350,7 +350,7 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as five tables by nation modulo 5, with a column of names, of numbers and of contacts."""
     rows = _fixture(spark, sf_dir, f"SELECT 'tables/' || cast(c_nationkey % 5 as string) || '.csv' AS relative_path, '.csv' AS extension, cast(1 as bigint) AS size_bytes, c_custkey, case when c_custkey % 2 = 0 then 'Иванов Иван' else '' end AS person, {X.INN} AS inn, case when c_custkey % 4 = 0 then 'u' || cast(c_custkey as string) || '@example.com' end AS contact FROM customer", "customer")
     place = F.row_number().over(_by_file())
-    return tables.long_cells(rows.withColumn("row_no", place), ["person", "inn", "contact"])
+    return tables.wide_rows(rows.withColumn("row_no", place), ["person", "inn", "contact"])
 
 
 def _by_file():

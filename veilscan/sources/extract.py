@@ -1,14 +1,23 @@
 """Bytes of a file to (text, status, metadata, warnings), for the formats that the standard library can read.
 
-Runs in executors on Arrow batches.  Formats whose readers are not installed give status and warnings, never an exception.
+Runs in executors on Arrow batches.  Formats whose readers are not installed give status and warnings, never an exception:
+character recognition, PDF readers, converters and video tools are used where a worker has them.  Tools that take files
+get a temporary one on the worker, which is removed at once.
 """
 
 from __future__ import annotations
 
+import contextlib
 import csv
 import io
 import json
+import os
 import re
+import shutil
+import signal
+import subprocess
+import tempfile
+import threading
 import zipfile
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -239,6 +248,10 @@ def xlsx(data: bytes, max_rows: int = 50_000, **_) -> Extracted:
         sheets = xlsx_sheets(data, max_rows)
     except (zipfile.BadZipFile, KeyError, ValueError, IndexError, ElementTree.ParseError) as e:
         return Extracted(status="error", warnings=[f"Cannot read Excel: {e}"])
+    return _sheet_lines(sheets)
+
+
+def _sheet_lines(sheets: dict[str, list[list[str]]]) -> Extracted:
     lines, short = [], set()
     for name, rows in sheets.items():
         lines.append(f"SHEET: {name}")
@@ -250,8 +263,26 @@ def xlsx(data: bytes, max_rows: int = 50_000, **_) -> Extracted:
     return Extracted("\n".join(lines), metadata={"extractor": "excel", "sheets": json.dumps(list(sheets)), "short_cells": json.dumps(sorted(short)[:200], ensure_ascii=False)})
 
 
+def old_sheets(data: bytes, max_rows: int, dtype=None) -> dict:
+    """Sheets of a workbook of the old format as pandas frames without header; needs pandas' reader for it."""
+    import pandas as pd
+
+    found = pd.read_excel(io.BytesIO(data), sheet_name=None, header=None, dtype=dtype, nrows=max_rows)
+    return {str(name): frame for name, frame in found.items()}
+
+
+def xls(data: bytes, max_rows: int = 50_000, **_) -> Extracted:
+    try:
+        sheets = old_sheets(data, max_rows)
+    except ImportError as e:
+        return Extracted(status="skipped", warnings=[f"Excel reader unavailable: {e}"])
+    except Exception as e:  # noqa: BLE001 - any broken file becomes a row with a warning
+        return Extracted(status="error", warnings=[f"Cannot read Excel: {e}"])
+    return _sheet_lines({name: frame.astype(str).to_numpy().tolist() for name, frame in sheets.items()})
+
+
 #: Tables that are analysed by row and column, and cells that count as empty in Excel files (fixed values).
-TABLES = (".csv", ".xlsx", ".parquet")
+TABLES = (".csv", ".xlsx", ".xls", ".parquet")
 NO_VALUE = frozenset(("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"))
 
 
@@ -260,13 +291,13 @@ def csv_frame(data: bytes, max_rows: int):
     import pandas as pd
 
     failed = []
-    for sep in (None, ",", ";", "\t", "|"):
-        for encoding in ENCODINGS:
-            try:
-                return pd.read_csv(io.BytesIO(data), sep=sep, engine="python" if sep is None else None, dtype=str, keep_default_na=False, nrows=max_rows, encoding=encoding)
-            except Exception as e:  # noqa: BLE001 - the next way
-                if sep is None:
-                    failed.append(f"{encoding}: {type(e).__name__}")
+    ways = [(encoding, None) for encoding in ENCODINGS] + [(encoding, sep) for encoding in ENCODINGS for sep in (",", ";", "\t", "|")]
+    for encoding, sep in ways:
+        try:
+            return pd.read_csv(io.BytesIO(data), sep=sep, engine="python" if sep is None else None, dtype=str, keep_default_na=False, nrows=max_rows, encoding=encoding)
+        except Exception as e:  # noqa: BLE001 - the next way
+            if sep is None:
+                failed.append(f"{encoding}: {type(e).__name__}")
     raise ValueError("; ".join(failed))
 
 
@@ -286,6 +317,8 @@ def parquet_frame(data: bytes, max_rows: int):
 
 def table_frames(data: bytes, extension: str, max_rows: int = 50_000) -> dict[str, tuple[list[str], list[list[str]]]]:
     """Sheets by name: names of the columns, and at most max_rows rows of values, '' where there is none.  Excel sheets have no header."""
+    if extension == ".xls":
+        return {name: ([str(c) for c in frame.columns], frame.fillna("").astype(str).to_numpy().tolist()) for name, frame in old_sheets(data, max_rows, str).items()}
     if extension == ".xlsx":
         out = {}
         for name, rows in xlsx_sheets(data, max_rows).items():
@@ -356,42 +389,226 @@ def repair_mojibake(text: str) -> str:
     return fixed if cyrillic_letters(fixed) > cyrillic_letters(text) else text
 
 
-def pdf(data: bytes, use_ocr: bool = False, **_) -> Extracted:
-    """Text of the first installed reader that finds any; without one an empty text marked as a possible scan."""
+@contextlib.contextmanager
+def time_limit(seconds: float):
+    """TimeoutError in the block after so many seconds (0: never); only in a main thread, as Python workers' are."""
+    if seconds <= 0 or threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def over(*_):
+        raise TimeoutError(f"file processing timed out after {seconds:g}s")
+
+    before = signal.signal(signal.SIGALRM, over)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+@contextlib.contextmanager
+def as_file(data: bytes, extension: str):
+    """The path of a temporary file with these bytes."""
+    with tempfile.TemporaryDirectory(prefix="veilscan-file-") as folder:
+        path = os.path.join(folder, f"file{extension}")
+        with open(path, "wb") as f:
+            f.write(data)
+        yield path
+
+
+#: Languages of recognition, in order; of frames of videos, and their settings (fixed values).
+LANGUAGES, FRAME_LANGUAGES, FRAME_SETTINGS = ("rus+eng", "rus", "eng"), ("rus+eng", "eng"), ("--oem 3 --psm 6",)
+
+
+def recognised(engine, picture, languages: tuple[str, ...] = LANGUAGES) -> tuple[str, str, list[str]]:
+    """Text of a picture in the first language that the engine knows, else in its own; the language; warnings."""
     warnings = []
+    for language in languages:
+        try:
+            return engine.image_to_string(picture, lang=language) or "", language, warnings
+        except Exception as e:  # noqa: BLE001 - the next language
+            warnings.append(f"OCR failed for {language}: {type(e).__name__}")
+    return engine.image_to_string(picture) or "", "default", [*warnings, "OCR used default language"]
+
+
+def image(data: bytes, use_ocr: bool = False, **_) -> Extracted:
+    """Recognised text of a picture; without recognition an empty text that is in order."""
+    out = Extracted(metadata={"extractor": "image", "ocr_used": "false"})
+    if not use_ocr:
+        out.warnings.append("OCR disabled")
+        return out
+    try:
+        import pytesseract
+        from PIL import Image
+    except ImportError as e:
+        out.warnings.append(f"OCR unavailable: {type(e).__name__}")
+        return out
+    try:
+        with Image.open(io.BytesIO(data)) as picture:
+            out.metadata |= {"image_size": str(picture.size), "image_mode": str(picture.mode)}
+            out.text, language, out.warnings = recognised(pytesseract, picture)
+        out.metadata |= {"ocr_used": "true", "ocr_language": language}
+    except Exception as e:  # noqa: BLE001
+        out.warnings.append(f"OCR failed: {e}")
+    return out
+
+
+def _pages_by(module: str, data: bytes) -> list[str]:
+    """Text of each page, by an installed reader."""
+    if module == "pdfplumber":
+        import pdfplumber
+
+        with pdfplumber.open(io.BytesIO(data)) as document:
+            return [p.extract_text() or "" for p in document.pages]
+    from pypdf import PdfReader
+
+    return [p.extract_text() or "" for p in PdfReader(io.BytesIO(data)).pages]
+
+
+def _scanned_pages(data: bytes) -> tuple[list[str], list[str]]:
+    """Recognised text of each page and warnings; a page that fails is left out."""
+    import pypdfium2
+    import pytesseract
+
+    texts, warnings = [], []
+    document = pypdfium2.PdfDocument(data)
+    for k in range(len(document)):
+        try:
+            text, language, _ = recognised(pytesseract, document[k].render(scale=2.5).to_pil(), LANGUAGES[:2])
+            texts.append(text)
+            if language != LANGUAGES[0]:
+                warnings.append(f"Page {k + 1}: {LANGUAGES[0]} OCR failed, retried with {language}")
+        except Exception as e:  # noqa: BLE001 - the next page
+            warnings.append(f"Page {k + 1}: OCR failed: {e}")
+    return texts, warnings
+
+
+def pdf(data: bytes, use_ocr: bool = False, **_) -> Extracted:
+    """Text of the first installed reader that finds any, then of recognition; else an empty text marked as a possible scan."""
+    warnings, extractor = [], "none"
     for module in ("pdfplumber", "pypdf"):
         try:
-            lib = __import__(module)
-            pages = [p.extract_text() or "" for p in (lib.open(io.BytesIO(data)) if module == "pdfplumber" else lib.PdfReader(io.BytesIO(data))).pages]
+            extractor = module
+            pages = _pages_by(module, data)
             if any(map(str.strip, pages)):
                 return Extracted("\n\n".join(pages), metadata={"extractor": module, "pages": str(len(pages))}, warnings=warnings)
+        except ImportError as e:
+            warnings.append(f"{module} unavailable: {type(e).__name__}")
         except Exception as e:  # noqa: BLE001
             warnings.append(f"{module} failed: {e}")
     if use_ocr:
-        warnings.append("OCR unavailable")
-    return Extracted(metadata={"extractor": "none", "possible_scanned_pdf": "true"}, warnings=warnings)
+        try:
+            pages, said = _scanned_pages(data)
+            warnings += said
+            if any(map(str.strip, pages)):
+                return Extracted("\n\n".join(pages), metadata={"extractor": "pdf-ocr-tesseract", "pages": str(len(pages)), "ocr_used": "true", "ocr_language": LANGUAGES[0]}, warnings=warnings)
+            warnings.append("PDF OCR returned empty text")
+        except ImportError as e:
+            warnings.append(f"PDF OCR dependencies unavailable: {type(e).__name__}")
+        except Exception as e:  # noqa: BLE001
+            warnings.append(f"PDF OCR failed: {e}")
+    return Extracted(metadata={"extractor": extractor, "possible_scanned_pdf": "true"}, warnings=[*warnings, "PDF text layer is empty; possible scanned PDF"])
 
 
-def no_reader(kind: str, status: str = "ok"):
-    """For images and video without character recognition: an empty text that is in order; for legacy files: skipped."""
+def doc(data: bytes, **_) -> Extracted:
+    """Text of a legacy Word file by textract, else by textutil with mojibake repaired; without either it is skipped."""
+    warnings = []
+    with as_file(data, ".doc") as path:
+        try:
+            import textract
+
+            return Extracted(textract.process(path).decode("utf-8", "ignore"), metadata={"extractor": "textract-doc"})
+        except ImportError as e:
+            warnings.append(f"textract unavailable: {type(e).__name__}")
+        except Exception as e:  # noqa: BLE001
+            warnings.append(f"textract failed: {e}")
+        try:
+            done = subprocess.run(["textutil", "-convert", "txt", "-stdout", path], check=False, capture_output=True, timeout=120)
+            text = repair_mojibake(done.stdout.decode("utf-8", "replace"))
+            if done.returncode == 0 and text.strip():
+                return Extracted(text, metadata={"extractor": "textutil-doc"}, warnings=warnings)
+            warnings.append(f"textutil returned no text: {done.stderr.decode('utf-8', 'replace').strip() or f'exit_code={done.returncode}'}")
+        except FileNotFoundError:
+            warnings.append("textutil unavailable")
+        except (OSError, subprocess.SubprocessError) as e:
+            warnings.append(f"textutil failed: {e}")
+    return Extracted(status="skipped", warnings=[f"DOC extraction unavailable: {'; '.join(warnings)}"])
+
+
+_converters: list = []
 
-    def read(data: bytes, use_ocr: bool = False, **_) -> Extracted:
-        return Extracted(status=status, metadata={"extractor": kind}, warnings=[f"{kind}: {'no reader installed' if use_ocr or status != 'ok' else 'OCR disabled'}"])
 
-    return read
+def converted(data: bytes, extension: str) -> Extracted:
+    """Text of an office file or page by the universal converter, which a worker makes once; skipped where there is none."""
+    try:
+        if not _converters:
+            os.environ.setdefault("PYTORCH_ENABLE_MPS_FALLBACK", "1")
+            from docling.document_converter import DocumentConverter
+
+            _converters.append(DocumentConverter())
+    except Exception as e:  # noqa: BLE001 - whatever keeps the library from loading
+        return Extracted(status="skipped", warnings=[f"Docling unavailable: {type(e).__name__}"])
+    try:
+        with as_file(data, extension) as path:
+            document = _converters[0].convert(path).document
+        said = getattr(document, "export_to_markdown", None) or getattr(document, "export_to_text", lambda: "")
+        if text := said():
+            return Extracted(text, metadata={"docling_used": "true", "extractor": "docling"})
+        return Extracted(status="skipped", metadata={"docling_used": "true"}, warnings=["Docling returned empty text"])
+    except Exception as e:  # noqa: BLE001
+        return Extracted(status="skipped", metadata={"docling_used": "false"}, warnings=[f"Docling failed: {e}"])
+
+
+#: Formats that the universal converter is asked for first (fixed values).
+CONVERTED = frozenset((".docx", ".doc", ".rtf", ".xlsx", ".xls", ".html", ".htm"))
+
+
+def video(data: bytes, use_ocr: bool = False, extension: str = ".mp4", **_) -> Extracted:
+    """Recognised text of a video's frames; without tools or recognition an empty text that is in order."""
+    out = Extracted(metadata={"extractor": "video", "ocr_used": "false"})
+    if not use_ocr:
+        out.warnings.append("Video OCR disabled")
+    elif not shutil.which("ffmpeg"):
+        out.warnings.append("ffmpeg unavailable for video frame extraction")
+    else:
+        try:
+            from .frames import read_frames
+        except ImportError as e:
+            out.warnings.append(f"OCR unavailable: {type(e).__name__}")
+            return out
+        try:
+            with as_file(data, extension) as path:
+                read_frames(path, out)
+        except Exception as e:  # noqa: BLE001
+            out.warnings.append(f"Video OCR failed: {e}")
+    return out
 
 
 READERS = {
-    ".txt": plain, ".md": plain, ".log": plain, ".csv": table_text, ".json": json_text, ".parquet": parquet_text, ".docx": docx, ".rtf": rtf, ".xlsx": xlsx, ".xls": no_reader("excel", "skipped"), ".doc": no_reader("doc", "skipped"), ".pdf": pdf, ".html": html, ".htm": html,
-    **{e: no_reader("image") for e in (".png", ".jpg", ".jpeg", ".tif", ".tiff", ".gif")}, **{e: no_reader("video") for e in (".mp4", ".avi", ".mov", ".mkv", ".webm", ".mpeg", ".mpg")},
+    ".txt": plain, ".md": plain, ".log": plain, ".csv": table_text, ".json": json_text, ".parquet": parquet_text, ".docx": docx, ".rtf": rtf, ".xlsx": xlsx, ".xls": xls, ".doc": doc, ".pdf": pdf, ".html": html, ".htm": html,
+    **dict.fromkeys((".png", ".jpg", ".jpeg", ".tif", ".tiff", ".gif"), image), **dict.fromkeys((".mp4", ".avi", ".mov", ".mkv", ".webm", ".mpeg", ".mpg"), video),
 }
 
 
-def extract(data: bytes, extension: str, use_ocr: bool = False, max_rows: int = 50_000) -> Extracted:
+def extract(data: bytes, extension: str, use_ocr: bool = False, max_rows: int = 50_000, timeout: float = 0) -> Extracted:
+    """Text of a file; what fails, or takes longer than timeout seconds (0: no limit), is a status and a warning."""
     reader = READERS.get(extension)
     if reader is None:
         return Extracted(status="skipped", warnings=[f"Unsupported extension: {extension}"])
     try:
-        return reader(data, use_ocr=use_ocr, max_rows=max_rows)
+        with time_limit(timeout):
+            before = []
+            if extension in CONVERTED:
+                whole = converted(data, extension)
+                if whole.status == "ok" and whole.text.strip():
+                    return whole
+                before = [f"docling: {w}" for w in whole.warnings]
+            out = reader(data, use_ocr=use_ocr, max_rows=max_rows, extension=extension)
+            out.warnings = [*before, *out.warnings]
+            return out
+    except TimeoutError as e:
+        return Extracted(status="error", warnings=[str(e)])
     except Exception as e:  # noqa: BLE001 - one broken file is one row with status error
         return Extracted(status="error", warnings=[f"{type(e).__name__}: {e}"])

@@ -18,14 +18,17 @@ MD_COUNTS = ("- Всего файлов: {}", "- Обработано: {}", "- 
 MD_HEADERS = ("Путь", "Формат", "Тип документа", "Категории ПДн", "Риск", "Обоснование", "Рекомендация")
 
 
-def report_rows(assessed: DataFrame, output: str = "") -> DataFrame:
-    """What a report has of each assessed row: 14 columns, and ord where there is one."""
+def report_rows(assessed: DataFrame, output: str = "", per_file: bool = True) -> DataFrame:
+    """What a report has of each assessed row: 14 columns, and ord where there is one.
+
+    per_file: whether texts and findings are files; else the paths are those of the tables.
+    """
     ident = file_id(F.col("relative_path"))
     table = F.col("table_analysis") if "table_analysis" in assessed.columns else F.lit(None).cast("string")
     path = F.col("path") if "path" in assessed.columns else F.col("relative_path")
     columns = [
         path.alias("path"), F.col("relative_path"), F.col("extension").alias("file_format"), "document_type", F.array_sort(F.map_keys("categories")).alias("pii_categories"), F.transform_values("categories", lambda _, v: v["count"]).alias("finding_counts"), "features", "risk_level", "risk_score", "reasons", "recommendation",
-        table.alias("table_analysis"), F.concat(F.lit(f"{output}/extracted_texts/"), ident, F.lit(".txt")).alias("extracted_text_path"), F.concat(F.lit(f"{output}/pii_findings/"), ident, F.lit(".json")).alias("pii_findings_path"),
+        table.alias("table_analysis"), *(F.concat(F.lit(f"{output}/{kind}/"), ident, F.lit(end)).alias(name) if per_file else F.lit(f"{output}/tables/{kind}").alias(name) for kind, end, name in (("extracted_texts", ".txt", "extracted_text_path"), ("pii_findings", ".json", "pii_findings_path"))),
     ]
     return assessed.select(*columns, *(["ord"] if "ord" in assessed.columns else []))
 
@@ -62,12 +65,21 @@ def leaked_paths(rows: DataFrame, order: str = "ord") -> DataFrame:
     return rows.select(path.alias("line"), F.col(order).alias("at_")).where(F.col("line").isNotNull()).groupBy("line").agg(F.min("at_").alias("at_")).orderBy("at_").select("line")
 
 
-def write_tables(assessed: DataFrame, output: str) -> None:
+def write_tables(assessed: DataFrame, output: str, per_file: bool = True) -> None:
     """Texts, findings and report items as tables by file_id: a shared file system takes any path length and any number of rows."""
     ident = file_id(F.col("relative_path")).alias("file_id")
-    assessed.select(ident, "relative_path", "text").write.mode("overwrite").parquet(f"{output}/extracted_texts")
-    assessed.select(ident, "relative_path", F.col("extension").alias("file_format"), "categories", "validation", "features").write.mode("overwrite").json(f"{output}/pii_findings")
-    report_rows(assessed.where("include_in_report"), output).write.mode("overwrite").json(f"{output}/report_items")
+    assessed.select(ident, "relative_path", "text").write.mode("overwrite").parquet(f"{output}/tables/extracted_texts")
+    assessed.select(ident, "relative_path", F.col("extension").alias("file_format"), "categories", "validation", "features").write.mode("overwrite").json(f"{output}/tables/pii_findings")
+    report_rows(assessed.where("include_in_report"), output, per_file).write.mode("overwrite").json(f"{output}/tables/report_items")
+
+
+def write_files(spark: SparkSession, assessed: DataFrame, output: str) -> None:
+    """extracted_texts/<file_id>.txt and pii_findings/<file_id>.json of each row, streamed through the driver."""
+    path = F.col("path") if "path" in assessed.columns else F.col("relative_path")
+    found = F.to_json(F.struct(path.alias("file_path"), "relative_path", F.col("extension").alias("file_format"), "categories", "features", F.struct("validation", "signals").alias("metadata")))
+    for r in assessed.select(file_id(F.col("relative_path")).alias("id"), "text", found.alias("found")).toLocalIterator():
+        _put(spark, f"{output}/extracted_texts/{r.id}.txt", [r.text or ""])
+        _put(spark, f"{output}/pii_findings/{r.id}.json", [json.dumps(json.loads(r.found), ensure_ascii=False, indent=2)])
 
 
 def log_rows(outcomes: DataFrame) -> DataFrame:
