@@ -31,9 +31,10 @@ from .common import map_texts, slices, text_bytes
 
 #: Entries that a worker of Codec keeps of each of its two tables between slices; a full one is begun anew.
 KEPT_WORDS, KEPT_PIECES = 500_000, 400_000
-#: Text of a block, and of a bucket on average; places of documents in one row.
+#: Text of a block, and of a bucket on average; partitions for each block; places of documents, and words, in one row.
 BLOCK_BYTES = 32 << 20
-ROW_PLACES = 1 << 20
+SPREAD = 4
+ROW_PLACES, ROW_WORDS = 1 << 18, 4096
 #: How the tokenizer cuts normalised text (fixed by its file).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Words of which lower-casing and normalisation are the same everywhere.
@@ -144,12 +145,16 @@ class Codec:
             yield b"".join(map(known, words))
 
 
-#: Rows of a block's documents (route: the block), or of its words of one bucket (route: the bucket, negative).
-ROW = "route bigint, block bigint, words bigint, doc_ids array<bigint>, sizes binary, payload binary"
-ARROW_ROW = pa.schema([("route", pa.int64()), ("block", pa.int64()), ("words", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("payload", pa.binary())])
-#: What goes back to a block: numbers of its words, their ids and what they decode to.
-BACK = "route bigint, numbers binary, sizes binary, ids binary, texts binary"
-ARROW_BACK = pa.schema([("route", pa.int64())] + [(k, pa.binary()) for k in ("numbers", "sizes", "ids", "texts")])
+#: Rows of a block (route: the block): which of its words each of its numbers is, then its documents as such numbers; and
+#: of its words of one bucket (route: the bucket, negative), which begin at start in the order of all its words.
+ROW = "route bigint, block bigint, start bigint, words bigint, doc_ids array<bigint>, sizes binary, payload binary"
+ARROW_ROW = pa.schema([(k, pa.int64()) for k in ("route", "block", "start", "words")] + [("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("payload", pa.binary())])
+#: Distinct words of a bucket by the ROW_WORDS, with their ids; and each distinct id.
+WORDS = "route bigint, n bigint, words binary, sizes binary, ids binary, id int"
+ARROW_WORDS = pa.schema([("route", pa.int64()), ("n", pa.int64())] + [(k, pa.binary()) for k in ("words", "sizes", "ids")] + [("id", pa.int32())])
+#: What goes back to a block: ids of the words from start on, and what they decode to.
+BACK = "route bigint, start bigint, sizes binary, ids binary, texts binary"
+ARROW_BACK = pa.schema([("route", pa.int64()), ("start", pa.int64())] + [(k, pa.binary()) for k in ("sizes", "ids", "texts")])
 DONE = "doc_id bigint, ids array<int>, text string"
 ARROW_DONE = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
 
@@ -168,7 +173,7 @@ def _planes(values: np.ndarray) -> bytes:
 
 
 def _numbers(blob: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(_unpack(blob), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(_unpack(blob), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def _lines(values: pa.Array) -> bytes:
@@ -206,31 +211,33 @@ class Block:
         self.size += texts.nbytes
 
     def rows(self, buckets: int) -> Iterator[pa.RecordBatch]:
-        """The words of each bucket, sorted, with their numbers; then the documents.  Frequent words get small numbers."""
+        """The words of each bucket, sorted; then the documents.  Frequent words get small numbers."""
         coded = pa.chunked_array(self.words, pa.large_string()).combine_chunks().dictionary_encode()
+        self.words.clear()
         places, words = coded.indices.to_numpy(), coded.dictionary
-        often = np.bincount(places, minlength=len(words))
-        rank = np.empty(len(words), np.int64)
-        rank[np.argsort(-often, kind="stable")] = np.arange(len(words))
+        often = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.uint32)
+        rank[often] = np.arange(len(words), dtype=np.uint32)
         order = pc.sort_indices(words).to_numpy()
-        bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words.to_pylist()), np.int64, len(words))
+        bucket = np.fromiter((zlib.crc32(w.as_buffer()) % buckets for w in words), np.int64, len(words))
         order = order[np.argsort(bucket[order], kind="stable")]
-        starts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else []
+        starts = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]).tolist() if len(order) else []
         for a, b in zip(starts, [*starts[1:], len(order)], strict=True):
-            some = order[a:b]
-            yield self._row(-1 - int(bucket[some[0]]), len(some), None, _planes(rank[some]), _lines(words.take(pa.array(some))))
+            yield self._row(-1 - int(bucket[order[a]]), a, b - a, None, None, _lines(words.take(pa.array(order[a:b]))))
+        at = np.empty(len(words), np.uint32)
+        at[order] = np.arange(len(words), dtype=np.uint32)
+        yield self._row(self.number, 0, len(words), None, None, _planes(at[often]))
         places, counts, ids = rank[places], np.concatenate(self.counts), pa.concat_arrays(self.ids)
         ends = np.cumsum(counts)
         at = 0
         while at < len(counts):
             first = int(ends[at] - counts[at])
             end = max(at + 1, int(np.searchsorted(ends, first + ROW_PLACES, "right")))
-            yield self._row(self.number, len(words), ids[at:end].to_pylist(), _planes(counts[at:end]), _planes(places[first : int(ends[end - 1])]))
+            yield self._row(self.number, 0, len(words), ids[at:end].to_pylist(), _planes(counts[at:end]), _planes(places[first : int(ends[end - 1])]))
             at = end
 
-    def _row(self, route: int, words: int, ids: list | None, sizes: bytes, payload: bytes) -> pa.RecordBatch:
-        values = (route, self.number, words, ids, sizes, payload)
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, ARROW_ROW, strict=True)], schema=ARROW_ROW)
+    def _row(self, route: int, *values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((route, self.number, *values), ARROW_ROW, strict=True)], schema=ARROW_ROW)
 
 
 def blocks(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,30 +262,40 @@ def blocks(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str
     return frame.mapInArrow(run, ROW)
 
 
-WORD = "route bigint, word string, ids array<int>, id int"
-ARROW_WORD = pa.schema([("route", pa.int64()), ("word", pa.string()), ("ids", pa.list_(pa.int32())), ("id", pa.int32())])
-
-
 def distinct_words(dealt: DataFrame, path: str) -> DataFrame:
-    """route, word, ids of each distinct word of all blocks that has tokens; and route, id of each distinct id of a bucket.
-
-    A word is encoded once, in its bucket.
-    """
+    """The table of distinct words of all blocks that have tokens, packed, see WORDS and unpacked(); a word is encoded once, in its bucket."""
 
     def encode_bucket(key: tuple, rows: pa.Table) -> pa.Table:
-        if key[0].as_py() >= 0:
-            return ARROW_WORD.empty_table()
+        route = key[0].as_py()
+        if route >= 0:
+            return ARROW_WORDS.empty_table()
         lists = [_strings(p, n) for p, n in zip(rows.column("payload").to_pylist(), rows.column("words").to_pylist(), strict=True)]
-        words, own = pc.unique(pa.chunked_array(lists, pa.large_string())), codec(path)
-        ids = pa.array([i for at in range(0, len(words), 20_000) for i in own.ids(words[at : at + 20_000].to_pylist())], pa.list_(pa.int32()))
-        some = pc.greater(pc.list_value_length(ids), 0)
-        words, ids = words.filter(some).cast(pa.string()), ids.filter(some)
-        used = pc.unique(ids.flatten())
-        route = lambda n: pa.array(np.full(n, key[0].as_py()))
-        tables = [pa.table([route(len(words)), words, ids, pa.nulls(len(words), pa.int32())], ARROW_WORD), pa.table([route(len(used)), pa.nulls(len(used), pa.string()), pa.nulls(len(used), pa.list_(pa.int32())), used], ARROW_WORD)]
-        return pa.concat_tables(tables)
+        words, own, out, used = pc.unique(pa.chunked_array(lists, pa.large_string())), codec(path), [], set()
+        for at in range(0, len(words), ROW_WORDS):
+            some = words[at : at + ROW_WORDS]
+            ids = pa.array(own.ids(some.to_pylist()), pa.list_(pa.int32()))
+            there = pc.greater(pc.list_value_length(ids), 0)
+            some, ids = some.filter(there), ids.filter(there)
+            flat = ids.flatten().to_numpy()
+            used.update(np.unique(flat).tolist())
+            out.append((route, len(some), _lines(some), _planes(pc.list_value_length(ids).to_numpy(zero_copy_only=False)), _planes(flat), None))
+        out += [(route, 0, None, None, None, i) for i in sorted(used)]
+        return pa.Table.from_arrays([pa.array([o[k] for o in out], f.type) for k, f in enumerate(ARROW_WORDS)], schema=ARROW_WORDS)
+
+    return dealt.groupBy("route").applyInArrow(encode_bucket, WORDS)
+
+
+def unpacked(words: DataFrame) -> DataFrame:
+    """word, ids: a row for each distinct word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["words"] is not None:
+                    ends = np.r_[0, np.cumsum(_numbers(row["sizes"]))]
+                    yield pa.RecordBatch.from_arrays([_strings(row["words"], row["n"]).cast(pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_numbers(row["ids"]).astype(np.int32)))], names=["word", "ids"])
 
-    return dealt.groupBy("route").applyInArrow(encode_bucket, WORD)
+    return words.select("n", "words", "sizes", "ids").mapInArrow(run, "word string, ids array<int>")
 
 
 def with_pieces(words: DataFrame, table: DataFrame) -> DataFrame:
@@ -291,54 +308,52 @@ def _give_back(key: tuple, rows: pa.Table, words: pa.Table) -> pa.Table:
     """A bucket: for each block's words in it their ids and texts.  Words without tokens have no ids."""
     out: list[tuple] = []
     if key[0].as_py() < 0 and rows.num_rows:
-        is_word = pc.is_valid(words.column("word"))
-        coded, named = words.filter(is_word), words.filter(pc.invert(is_word))
-        known, ids = coded.column("word").combine_chunks().cast(pa.large_string()), coded.column("ids").combine_chunks()
-        sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
-        flat, starts = ids.flatten(), np.cumsum(sizes) - sizes
-        said = named.column("piece").combine_chunks().cast(pa.large_string()).take(pc.index_in(flat, named.column("id").combine_chunks()))
+        packed = words.filter(pc.is_valid(words.column("words"))).select(["n", "words", "sizes", "ids"]).to_pylist()
+        named = words.filter(pc.is_valid(words.column("id")))
+        known = pa.chunked_array([_strings(p["words"], p["n"]) for p in packed], pa.large_string())
+        sizes = np.concatenate([np.empty(0, np.uint32), *(_numbers(p["sizes"]) for p in packed)]).astype(np.int64)
+        flat = np.concatenate([np.empty(0, np.uint32), *(_numbers(p["ids"]) for p in packed)])
+        starts = np.cumsum(sizes) - sizes
+        piece = named.column("piece").combine_chunks().cast(pa.large_string())
+        said = piece.take(pc.index_in(pa.array(flat.astype(np.int32)), named.column("id").combine_chunks()))
         texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int64()), said), pa.scalar(" ", pa.large_string()))
-        flat = flat.to_numpy()
-        for row in rows.select(["block", "words", "sizes", "payload"]).to_pylist():
-            at = pc.index_in(_strings(row["payload"], row["words"]), known)
+        for row in rows.select(["block", "start", "words", "payload"]).to_pylist():
+            at = pc.index_in(_strings(row["payload"], row["words"]), known.combine_chunks())
             here = at.is_valid().to_numpy(zero_copy_only=False)
             at = at.drop_null().to_numpy()
             size = np.zeros(len(here), np.int64)
             size[here] = sizes[at]
-            out.append((row["block"], row["sizes"], _planes(size), _planes(flat[_ranges(starts[at], sizes[at])]), _lines(texts.take(pa.array(at)))))
+            out.append((row["block"], row["start"], _planes(size), _planes(flat[_ranges(starts[at], sizes[at])]), _lines(texts.take(pa.array(at)))))
     return pa.Table.from_arrays([pa.array([o[k] for o in out], f.type) for k, f in enumerate(ARROW_BACK)], schema=ARROW_BACK)
 
 
 def _put_together(key: tuple, rows: pa.Table, lists: pa.Table) -> pa.Table:
-    """A block: ids and texts by number, then documents by place."""
+    """A block: ids and texts of its words in order, then documents by number."""
     if key[0].as_py() < 0 or not rows.num_rows:
         return ARROW_DONE.empty_table()
-    n = rows.column("words")[0].as_py()
-    sizes, starts, at_text = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, -1)
-    flat, texts, seen, told, given = [], [], 0, 0, 0
-    for row in lists.to_pylist():
-        numbers, size = _numbers(row["numbers"]), _numbers(row["sizes"])
-        sizes[numbers], starts[numbers] = size, seen + np.cumsum(size) - size
-        some = numbers[size > 0]
-        at_text[some] = told + np.arange(len(some))
+    sizes, flat, texts = [np.empty(0, np.uint32)], [np.empty(0, np.uint32)], []
+    for row in sorted(lists.to_pylist(), key=lambda r: r["start"]):
+        sizes.append(_numbers(row["sizes"]))
         flat.append(_numbers(row["ids"]))
-        texts.append(_strings(row["texts"], len(some)))
-        seen, told, given = seen + len(flat[-1]), told + len(some), given + len(numbers)
-    if given != n:
-        raise RuntimeError(f"block {key[0]} has {n} words but got {given}: its input came out differently when it was read again")
-    flat = np.concatenate(flat) if flat else np.empty(0, np.int64)
+        texts.append(_strings(row["texts"], int((sizes[-1] > 0).sum())))
+    sizes, flat = np.concatenate(sizes).astype(np.int64), np.concatenate(flat).astype(np.int32)
+    if len(sizes) != rows.column("words")[0].as_py():
+        raise RuntimeError(f"block {key[0]} has {rows.column('words')[0]} words but got {len(sizes)}: its input came out differently when it was read again")
     texts = pa.chunked_array(texts, pa.large_string()).combine_chunks()
+    starts, at_text = np.cumsum(sizes) - sizes, np.cumsum(sizes > 0) - 1
+    whose = _numbers(next(r for r in rows.filter(pc.is_null(rows.column("doc_ids"))).column("payload").to_pylist()))
     out = []
-    for row in rows.to_pylist():
-        counts, places = _numbers(row["sizes"]), _numbers(row["payload"])
-        with_tokens = sizes[places] > 0  # words without tokens leave no gap
-        before = np.r_[0, np.cumsum(with_tokens)][np.r_[0, np.cumsum(counts)]]
-        places = places[with_tokens]
+    for row in rows.filter(pc.is_valid(rows.column("doc_ids"))).to_batches(max_chunksize=1):
+        (row,) = row.to_pylist()
+        counts, places = _numbers(row["sizes"]), whose[_numbers(row["payload"])]
         size = sizes[places]
+        with_tokens = size > 0  # words without tokens leave no gap
+        before = np.r_[0, np.cumsum(with_tokens)][np.r_[0, np.cumsum(counts, dtype=np.int64)]]
+        places, size = places[with_tokens], size[with_tokens]
         ends = np.r_[0, np.cumsum(size)][before]
-        ids = flat[_ranges(starts[places], size)].astype(np.int32)
         said = pa.LargeListArray.from_arrays(pa.array(before, pa.int64()), texts.take(pa.array(at_text[places])))
-        out.append(pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)), pc.binary_join(said, pa.scalar(" ", pa.large_string())).cast(pa.string())], schema=ARROW_DONE))
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[_ranges(starts[places], size)]))
+        out.append(pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), ids, pc.binary_join(said, pa.scalar(" ", pa.large_string())).cast(pa.string())], schema=ARROW_DONE))
     return pa.Table.from_batches(out, ARROW_DONE)
 
 
@@ -352,8 +367,8 @@ def encode_by_words(docs: DataFrame, path: str | None = None, id_col: str = "doc
     path = path or default_tokenizer()
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_bytes(text_col)))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
-    dealt = blocks(docs, parts, id_col, text_col).repartition(parts, "route")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
+    dealt = blocks(docs, buckets, id_col, text_col).repartition(SPREAD * buckets, "route")
     words = with_pieces(distinct_words(dealt, path), pieces(spark, path))
     back = dealt.groupBy("route").cogroup(words.groupBy("route")).applyInArrow(_give_back, BACK)
     return dealt.groupBy("route").cogroup(back.groupBy("route")).applyInArrow(_put_together, DONE)
