@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import cases as C
 from . import fixtures as X
 from .functions import names, text, validators
 from .functions import vocab as V
 from .operators import quality, routing, tables, video
-from .operators.detect import detect, findings
+from .operators.detect import ascii_fold, detect, findings, identity_marker
 from .operators.features import with_features
 from .operators.risk import assess
 from .plans.pipeline import score
@@ -175,22 +176,31 @@ def validation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("c_custkey", "checked", F.col("v.candidates").alias("candidates"), F.col("v.valid").alias("valid"))
 
 
+def _sum(categories) -> str:
+    return f"coalesce(sum(CASE WHEN category IN {_in(categories)} THEN n END), 0)"
+
+
+def _kinds(categories) -> str:
+    return f"count(CASE WHEN category IN {_in(categories)} THEN 1 END)"
+
+
+SENSITIVE = (*V.DIRECT, "bank_card", "cvv", *V.SPECIAL_FEATURES)
 #: Features as sums over the known findings.
 FEATURES = f"""
-SELECT p.c_custkey, count(category) AS category_count, coalesce(sum(n), 0) AS total_findings, coalesce(sum(CASE WHEN category IN {_in(V.WEAK)} THEN n END), 0) AS weak_keyword_findings,
-  coalesce(sum(CASE WHEN category IN {_in((*V.DIRECT, "bank_card", "cvv", *V.SPECIAL_FEATURES))} THEN n END), 0) AS sensitive_findings, coalesce(sum(CASE WHEN category IN {_in(V.CONTACT)} THEN n END), 0) AS contact_findings, coalesce(sum(CASE WHEN category IN {_in(V.FINANCIAL)} THEN n END), 0) AS financial_findings,
-  coalesce(max(CASE WHEN category = 'full_name' THEN 1 END), 0) AS unique_persons, max(length(p.text)) AS text_length,
-  count(CASE WHEN category IN ('bank_card', 'phone') THEN 1 END) = 2 AS has_card_and_phone, count(CASE WHEN category IN ('bank_card', 'cvv') THEN 1 END) > 0 OR count(CASE WHEN category IN ('bank_account', 'bik') THEN 1 END) = 2 AS has_payment_bundle,
-  count(CASE WHEN category = 'full_name' THEN 1 END) = 1 AND count(CASE WHEN category IN {_in(V.CONTACT)} THEN 1 END) >= 2 AS has_contact_bundle
+SELECT p.c_custkey, count(category) AS category_count, coalesce(sum(n), 0) AS total_findings, {_sum(V.WEAK)} AS weak_keyword_findings, {_sum(SENSITIVE)} AS sensitive_findings, {_sum(V.CONTACT)} AS contact_findings, {_sum(V.FINANCIAL)} AS financial_findings,
+  coalesce(max(CASE WHEN category = 'full_name' THEN 1 END), 0) AS unique_persons, max(length(p.text)) AS text_length, {_kinds(("bank_card", "phone"))} = 2 AS has_card_and_phone, {_kinds(("bank_card", "cvv"))} > 0 OR {_kinds(("bank_account", "bik"))} = 2 AS has_payment_bundle,
+  {_kinds(("full_name",))} = 1 AND {_kinds(V.CONTACT)} >= 2 AS has_contact_bundle, {_kinds(("passport_rf", "snils"))} = 2 AS has_passport_and_snils,
+  {_kinds(("passport_rf", "foreign_id_document", "snils", "driver_license", "mrz"))} > 0 AND ({_kinds(("full_name",))} > 0 OR {_kinds(V.DIRECT)} >= 2) AS has_government_id_bundle,
+  {_kinds(("full_name",))} > 0 AND ({_kinds(("passport_rf", "snils"))} = 2 OR ({_kinds(V.DIRECT)} > 0 AND {_kinds(("birth_date", "address", "phone", "email"))} > 0) OR {_kinds((*V.DIRECT, *V.DEMOGRAPHIC, *V.CONTACT, "bank_card"))} >= 4) AS has_full_identity_bundle,
+  coalesce(sum(n), 0) - {_sum(V.WEAK)} AS value_findings, {_sum(V.DIRECT)} AS direct_identifier_findings, {_kinds(SENSITIVE)} AS sensitive_category_count, max(p.size_bytes) AS file_size_bytes, max(CAST(p.extension = '.csv' AS INT)) = 1 AS is_structured, FALSE AS is_image_or_scan,
+  round(coalesce(sum(n), 0) * 1000.0 / max(length(p.text)), 3) AS pdn_density, round((coalesce(sum(n), 0) - {_sum(V.WEAK)}) * 1000.0 / max(length(p.text)), 3) AS value_pdn_density
 FROM ({X.PEOPLE}) p LEFT JOIN ({X.FOUND}) g ON g.c_custkey = p.c_custkey GROUP BY p.c_custkey"""
 
 
 @query(FEATURES)
 def pii_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = ("category_count", "total_findings", "weak_keyword_findings", "sensitive_findings", "contact_findings", "financial_findings", "unique_persons", "text_length")
-    flags = ("has_card_and_phone", "has_payment_bundle", "has_contact_bundle")
     rows = with_features(detect(people(spark, sf_dir)))
-    return rows.select("c_custkey", *(F.col(f"features.{c}").cast("bigint").alias(c) for c in counted), *(F.col(f"features.{c}").alias(c) for c in flags))
+    return rows.select("c_custkey", *(F.col(f"features.{f.name}").cast("bigint" if f.dataType.simpleString() == "int" else f.dataType).alias(f.name) for f in rows.schema["features"].dataType.fields))
 
 
 #: The known texts' document types: the passport rule needs a short PDF or a picture, dumps a word in the path.
@@ -242,6 +252,92 @@ def risk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(people(spark, sf_dir)).groupBy("risk_level", "document_type").agg(F.count("*").alias("files"), F.max(F.col("risk_score").cast("bigint")).alias("highest"))
 
 
+# --- Known cases, one for each customer ---
+
+
+def _values(rows, columns: str) -> str:
+    return f"(VALUES {', '.join(rows)}) v({columns})"
+
+
+def _quoted(x) -> str:
+    return "NULL" if x is None else str(x).upper() if isinstance(x, bool) else C.text_literal(x) if isinstance(x, str) else str(x)
+
+
+def _expected(cases: tuple, columns: str, *places: int) -> str:
+    rows = [f"({i}, {', '.join(_quoted(c[k]) for k in places)})" for i, c in enumerate(cases)]
+    return f"SELECT c_custkey, {columns} FROM customer JOIN {_values(rows, f'place, {columns}')} ON c_custkey % {len(cases)} = place"
+
+
+def _cases(spark: SparkSession, sf_dir: str, cases: tuple) -> DataFrame:
+    return _fixture(spark, sf_dir, C.texts(cases), "customer")
+
+
+FOUND_CASES = [f"({i}, '{k}', {n})" for i, c in enumerate(C.DETECT) for k, n in c[2].items()]
+
+
+@query(f"SELECT c_custkey, category, n AS count FROM customer JOIN {_values(FOUND_CASES, 'place, category, n')} ON c_custkey % {len(C.DETECT)} = place")
+def detector_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every detector, with what each of its conditions refuses."""
+    return findings(detect(_cases(spark, sf_dir, C.DETECT)), "c_custkey").select("c_custkey", "category", "count")
+
+
+@query(_expected(C.MARKERS, "marker", 1))
+def identity_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _fixture(spark, sf_dir, f"SELECT c_custkey, {C.pick([C.text_literal(m[0]) for m in C.MARKERS])} AS text FROM customer", "customer")
+    return texts.select("c_custkey", identity_marker(ascii_fold("text")).alias("marker"))
+
+
+@query(_expected(C.TYPES, "document_type", 2))
+def document_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_cases(spark, sf_dir, C.TYPES)).select("c_custkey", "document_type")
+
+
+@query(_expected(tuple((*c[:8], c[2] + c[3] + c[4] - c[5] if c[2] + c[3] + c[4] > c[5] else 0, "; ".join((f"Risk components: pii_sensitivity={c[2]}, massiveness={c[3]}, context_suspicion={c[4]}, legitimate_context=-{c[5]}", *c[8]))) for c in C.RISKS), "sensitivity_score, massiveness_score, context_score, legitimacy_discount, risk_level, include_in_report, risk_score, reasons", 2, 3, 4, 5, 6, 7, 8, 9))
+def risk_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores, level, the report rule and all reasons."""
+    parts = ("sensitivity_score", "massiveness_score", "context_score", "legitimacy_discount", "risk_score")
+    return score(_cases(spark, sf_dir, C.RISKS)).select("c_custkey", *(F.col(p).cast("bigint").alias(p) for p in parts), "risk_level", "include_in_report", F.array_join("reasons", "; ").alias("reasons"))
+
+
+#: Two words of each key for every keyword category, once in capitals, and one of the path.
+WORDS = [w for words in V.KEYWORDS.values() for w in words]
+KEYWORD_TEXTS = f"""SELECT c_custkey, 'x/' || {C.pick([C.text_literal(w.strip().replace("/", "")) for w in WORDS])} || '.txt' AS relative_path, '.txt' AS extension, cast(1 as bigint) AS size_bytes,
+  {C.pick([C.text_literal(w) for w in WORDS])} || ', ' || upper({C.pick([C.text_literal(w) for w in WORDS[7:] + WORDS[:7]])}) || ' ' || {C.pick([C.text_literal(w) for w in WORDS[::-1][:31]])} AS text FROM customer"""
+
+
+def _count_words(words) -> str:
+    return " + ".join(f"CAST((length({c}) - length(replace({c}, '{w}', ''))) / {len(w)} AS INT)" for w in words for c in ("low", "path"))
+
+
+@query(
+    f"WITH t AS (SELECT c_custkey, lower(text) AS low, lower(relative_path || ' ' || substr(relative_path, 3)) AS path FROM ({KEYWORD_TEXTS}) k), c AS ("
+    + " UNION ALL ".join(f"SELECT c_custkey, '{c}' AS category, {_count_words(words)} AS count FROM t" for c, words in V.KEYWORDS.items() if c != "driver_license")
+    + ") SELECT c_custkey, category, count FROM c WHERE count > 0"
+)
+def keyword_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All keywords of all categories, counted in texts and paths; licences need a number and so have none here."""
+    return findings(detect(_fixture(spark, sf_dir, KEYWORD_TEXTS, "customer")), "c_custkey").where(F.col("category").isin(*V.KEYWORDS)).select("c_custkey", "category", "count")
+
+
+BASE_12 = f"(c_custkey * 7919 + 5000000000)"  # noqa: F541
+CHECK_12 = f"({X.weighted(BASE_12, 10, (7, 2, 4, 10, 3, 5, 9, 4, 6, 8))} % 11 % 10)"
+SECOND_12 = f"(({X.weighted(BASE_12, 10, (3, 7, 2, 4, 10, 3, 5, 9, 4, 6))} + 8 * {CHECK_12}) % 11 % 10)"
+INN_12 = f"cast({BASE_12} as string) || cast(({CHECK_12} + case when c_custkey % 4 = 1 then 1 else 0 end) % 10 as string) || cast(({SECOND_12} + case when c_custkey % 4 = 2 then 3 else 0 end) % 10 as string)"
+
+
+@query(f"SELECT c_custkey, {INN_12} AS inn, c_custkey % 4 NOT IN (1, 2) AS valid FROM customer")
+def inn12_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fixture(spark, sf_dir, f"SELECT c_custkey, {INN_12} AS inn FROM customer", "customer").withColumn("valid", validators.inn_ok(F.col("inn")))
+
+
+@query("SELECT c_custkey, substr(sha256(c_name), 1, 12) AS hash, '/' || ltrim(replace(CASE WHEN c_custkey % 2 = 0 THEN '//a' || chr(92) || 'b/' ELSE '' END || c_name, chr(92), '/'), '/') AS path, replace(replace('a|' || c_name || chr(10) || 'b', '|', chr(92) || '|'), chr(10), ' ') AS cell, substr('Файл ' || c_name, 1, 9) AS cut FROM customer")
+def report_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short hashes, report paths, Markdown cells and cut texts."""
+    name = F.col("c_name")
+    path = F.concat(F.when(F.col("c_custkey") % 2 == 0, "//a\\b/").otherwise(""), name)
+    return table(spark, sf_dir, "customer").select("c_custkey", validators.short_hash(name).alias("hash"), text.report_path(path).alias("path"), text.escape_markdown(F.concat(F.lit("a|"), name, F.lit("\nb"))).alias("cell"), text.truncate(F.concat(F.lit("Файл "), name), 9).alias("cut"))
+
+
 FOREIGN = """SELECT c_custkey, case c_custkey % 4 when 0 then 'Identity card, document no AB12345' || cast(c_custkey % 10 as string) when 1 then 'Česká republika, identification card, 1.1.19' || lpad(cast(c_custkey % 100 as string), 2, '0')
   when 2 then 'identity document without more' else 'Bibliothèque, 12.12.2012' end AS text, '' AS relative_path, '.txt' AS extension, cast(1 as bigint) AS size_bytes FROM customer"""
 
@@ -337,6 +433,39 @@ def top_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return video.top_frames(_turns(spark, sf_dir).select("video", "frame", F.char_length("text").cast("bigint").alias("score")))
 
 
+#: Videos of unknown, short and long duration; frames of many shapes.
+DURATION = "case when c_custkey % 5 = 0 then null else cast(c_custkey % 400 as double) / 16 end"
+KNOWN = "d IS NOT NULL AND d > 0"
+
+
+@query(f"WITH t AS (SELECT c_custkey, {DURATION} AS d FROM customer), n AS (SELECT *, CASE WHEN {KNOWN} THEN least(8, greatest(1, CAST(floor(d / 0.5) AS INT))) ELSE 8 END AS n FROM t) SELECT c_custkey, n AS frames, round(list_sum(list_transform(range(n), lambda i: i * CASE WHEN {KNOWN} THEN greatest(d - 0.1, 0) / greatest(n - 1, 1) ELSE 0.5 END)), 6) AS seconds FROM n")
+def frame_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _fixture(spark, sf_dir, f"SELECT c_custkey, {DURATION} AS d FROM customer", "customer").withColumn("at", video.frame_times(F.col("d")))
+    return rows.select("c_custkey", F.size("at").cast("bigint").alias("frames"), F.round(F.aggregate("at", F.lit(0.0), lambda a, x: a + x), 6).alias("seconds"))
+
+
+SHAPE = "SELECT c_custkey, cast(60 + c_custkey * 37 % 1900 as int) AS w, cast(60 + c_custkey * 53 % 1100 as int) AS h FROM customer"
+
+
+@query(f"""WITH s AS ({SHAPE}), b AS (SELECT c_custkey, w, h, 'full' AS name, 0 AS x0, 0 AS y0, w AS x1, h AS y1, 0 AS ord FROM s
+UNION ALL SELECT c_custkey, w, h, name, CAST(floor(w * a / 100) AS INT), CAST(floor(h * t / 100) AS INT), CAST(floor(w * c / 100) AS INT), CAST(floor(h * d / 100) AS INT), ord FROM s JOIN (VALUES (TRUE, 'middle_band', 0, 22, 100, 78, 1), (TRUE, 'document_band', 0, 30, 100, 72, 2), (TRUE, 'lower_band', 0, 32, 100, 85, 3), (FALSE, 'center_band', 8, 0, 92, 100, 1), (FALSE, 'middle_strip', 10, 12, 90, 88, 2), (FALSE, 'lower_strip', 8, 30, 92, 100, 3)) v(upright, name, a, t, c, d, ord) ON upright = (h >= w)
+UNION ALL SELECT c_custkey, w, h, 'detected_document_1', 0, 0, w, least(h, 300), 4 FROM s WHERE c_custkey % 3 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY c_custkey, x0, y0, x1, y1 ORDER BY ord) AS r FROM b WHERE x1 - x0 >= 80 AND y1 - y0 >= 80)
+SELECT c_custkey, string_agg(name || ' ' || x0 || ' ' || y0 || ' ' || x1 || ' ' || y1, '; ' ORDER BY ord) AS boxes FROM k WHERE r = 1 GROUP BY c_custkey""")
+def frame_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bands and a found document's box, clamped; small and repeated boxes left out."""
+    rows = _fixture(spark, sf_dir, SHAPE, "customer")
+    found = F.when(F.col("c_custkey") % 3 == 0, F.array(F.lit(-5), F.lit(-5), F.col("w") + 5, F.lit(300)))
+    said = F.transform("regions", lambda b: F.concat_ws(" ", b["name"], F.array_join(b["box"].cast("array<string>"), " ")))
+    return rows.withColumn("regions", video.regions(F.col("w"), F.col("h"), found)).where(F.size("regions") > 0).select("c_custkey", F.array_join(said, "; ").alias("boxes"))
+
+
+@query("SELECT l_orderkey, l_linenumber, round(l_discount * 4 + l_tax + l_quantity / 100, 9) AS score FROM lineitem")
+def frame_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", F.round(video.frame_score(F.col("l_discount"), F.col("l_tax"), F.col("l_quantity") / 100), 9).alias("score"))
+
+
 @query()
 def snippet_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = video.frame_candidates(video.scored(_turns(spark, sf_dir)))
@@ -369,6 +498,41 @@ def table_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.summarise(_cells(spark, sf_dir)).select("relative_path", *(F.col(f"table_analysis.{c}").cast("bigint").alias(c) for c in whole), F.col("table_analysis.pii_row_ratio").alias("pii_row_ratio"))
 
 
+#: Tables of people: a name at even keys, a passport's number where the key is divisible by 3, a card where it is by 5.
+PRIVATE = "SELECT 'p' || cast(c_nationkey % 4 as string) || '.csv' AS relative_path, '.csv' AS extension, cast(1 as bigint) AS size_bytes, c_custkey, case when c_custkey % 2 = 0 then 'Иванов Иван' else '' end AS person, case when c_custkey % 3 = 0 then 'паспорт: 4510 123456' end AS doc, case when c_custkey % 5 = 0 then 'visa 4111 1111 1111 1111' else 'nan' end AS card FROM customer"
+PRIVATE_ROWS = "SELECT 'p' || CAST(c_nationkey % 4 AS VARCHAR) || '.csv' AS relative_path, c_custkey % 2 = 0 AS name, c_custkey % 3 = 0 AS doc, c_custkey % 5 = 0 AS card, c_custkey, row_number() OVER (PARTITION BY c_nationkey % 4 ORDER BY c_custkey) AS row_no FROM customer"
+PRIVATE_COUNTS = f"SELECT relative_path, count(*) AS rows_analyzed, least(count(*), 5000) AS row_detail_rows_scanned, count(CASE WHEN row_no <= 5000 AND (name OR doc OR card) THEN 1 END) AS rows_with_pii, count(CASE WHEN row_no <= 5000 AND (doc OR card) THEN 1 END) AS rows_with_sensitive_pii, count(CASE WHEN row_no <= 5000 AND ((name AND (doc OR card)) OR (doc AND card)) THEN 1 END) AS rows_with_sensitive_combo FROM ({PRIVATE_ROWS}) p GROUP BY relative_path"
+
+
+def _private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _fixture(spark, sf_dir, PRIVATE, "customer")
+    return tables.wide_rows(rows.withColumn("row_no", F.row_number().over(_by_file())), ["person", "doc", "card"])
+
+
+@query(f"SELECT *, round(rows_with_pii / rows_analyzed, 4) AS pii_row_ratio, round(rows_with_sensitive_pii / rows_analyzed, 4) AS sensitive_row_ratio, round(rows_with_sensitive_combo / rows_analyzed, 4) AS combo_row_ratio, 3 AS columns_total, 3 AS sensitive_column_count, 3 AS pii_column_count, 'ok' AS status, 'csv' AS sheets FROM ({PRIVATE_COUNTS}) c")
+def table_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of tables with sensitive rows, combinations and columns."""
+    counts = ("rows_analyzed", "row_detail_rows_scanned", "rows_with_pii", "rows_with_sensitive_pii", "rows_with_sensitive_combo", "columns_total", "sensitive_column_count", "pii_column_count")
+    a = tables.summarise(_private(spark, sf_dir)).select("relative_path", "table_analysis.*")
+    return a.select("relative_path", *(F.col(c).cast("bigint").alias(c) for c in counts), "pii_row_ratio", "sensitive_row_ratio", "combo_row_ratio", "status", F.array_join("sheets", ",").alias("sheets"))
+
+
+@query(f"SELECT relative_path, combo, count(*) AS rows FROM (SELECT relative_path, CASE WHEN name AND doc AND card THEN 'bank_card+full_name+passport_rf' WHEN name AND doc THEN 'full_name+passport_rf' WHEN name AND card THEN 'bank_card+full_name' ELSE 'bank_card+passport_rf' END AS combo FROM ({PRIVATE_ROWS}) p WHERE row_no <= 5000 AND ((name AND (doc OR card)) OR (doc AND card))) q GROUP BY 1, 2")
+def table_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = tables.summarise(_private(spark, sf_dir))
+    return a.select("relative_path", F.explode("table_analysis.row_combinations").alias("combo", "rows"))
+
+
+@query(f"""WITH c AS ({PRIVATE_COUNTS}) SELECT relative_path, CASE WHEN rows_with_sensitive_combo > 0 THEN '{V.ID_TABLE}' ELSE '{V.UNKNOWN}' END AS document_type,
+  CASE WHEN rows_with_sensitive_combo >= 10 OR round(rows_with_sensitive_combo / rows_analyzed, 4) >= 0.2 THEN 8 WHEN rows_with_sensitive_combo > 0 THEN 5 ELSE 0 END + CASE WHEN rows_with_sensitive_pii >= 20 THEN 6 WHEN rows_with_sensitive_pii >= 3 THEN 4 ELSE 0 END
+  + CASE WHEN rows_with_pii >= 50 OR round(rows_with_pii / rows_analyzed, 4) >= 0.3 THEN 4 WHEN rows_with_pii >= 10 THEN 2 ELSE 0 END + 3 AS massiveness_score, CASE WHEN rows_with_sensitive_combo > 0 THEN 6 ELSE 0 END AS context_score FROM c""")
+def table_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules on tables add to files whose own text holds nothing."""
+    summary = written(tables.summarise(_private(spark, sf_dir)), "private")
+    files = summary.select("relative_path", F.lit(".csv").alias("extension"), F.lit(1).cast("bigint").alias("size_bytes"), F.lit("").alias("text"))
+    return score(files, summary).select("relative_path", "document_type", *(F.col(p).cast("bigint").alias(p) for p in ("massiveness_score", "context_score")))
+
+
 @query(f"""SELECT relative_path, category, count(*) AS rows FROM (SELECT relative_path, 'full_name' AS category FROM ({CELL_ROWS}) c WHERE has_name UNION ALL SELECT relative_path, 'inn_legal' FROM ({CELL_ROWS}) c WHERE has_inn UNION ALL SELECT relative_path, 'email' FROM ({CELL_ROWS}) c WHERE has_email) u GROUP BY 1, 2""")
 def table_row_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.row_categories(_cells(spark, sf_dir)).select("relative_path", F.explode("names").alias("category")).groupBy("relative_path", "category").agg(F.count("*").alias("rows"))
