@@ -53,6 +53,11 @@ class Notice:
     pattern: regex.Pattern
     own: tuple[bytes, ...] = ()
     rivals: frozenset[bytes] = frozenset()
+    grams: tuple[bytes, ...] = ()
+
+    def possible(self, window: bytes) -> bool:
+        """Whether a window can have a match: an edit spoils at most three of the notice's trigrams, and its own words are there."""
+        return all(w in window for w in self.own) and sum(g in window for g in self.grams) >= len(self.grams) - 3 * self.edits
 
     def told(self, span: bytes) -> bool:
         """Whether a span has this notice's own words, in order, and none of its rivals'."""
@@ -66,7 +71,7 @@ def notice(label: str, text: str, own: str = "", rivals: frozenset[bytes] = froz
     k = max(1, len(raw) // chars_an_edit)
     cuts = [round(i * len(raw) / (k + 1)) for i in range(k + 2)]
     pattern = regex.compile(rf"(?b)(?<![0-9a-z])(?:{regex.escape(text)}){{e<={k}}}(?![0-9a-z])".encode())
-    return Notice(label, raw, k, tuple((a, raw[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)), pattern, tuple(own.encode().split()), rivals - set(raw.split()))
+    return Notice(label, raw, k, tuple((a, raw[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)), pattern, tuple(own.encode().split()), rivals - set(raw.split()), tuple(raw[i : i + 3] for i in range(len(raw) - 2)))
 
 
 _compiled: dict[tuple, list[Notice]] = {}
@@ -126,7 +131,7 @@ def fuzzy(line: bytes, of: list[Notice]) -> list[tuple[str, int, int, int, int]]
             parts = [(a, b)]
             while parts:
                 a, b = parts.pop()
-                if b - a < len(n.text) - n.edits or not (m := n.pattern.search(line, a, b)):
+                if b - a < len(n.text) - n.edits or not n.possible(line[a:b]) or not (m := n.pattern.search(line, a, b)):
                     continue
                 # The closest may stand anywhere: what lies before and after it is searched too.
                 parts += [(m.end(), b), (a, m.start())]
