@@ -29,6 +29,11 @@ ROUNDS = 4
 #: Rounds of the local search over the underfull bins of a group, and how many of them it takes at a time.
 SWEEPS = 6
 POOL = 400
+#: Bounds of the neighbourhood, which cost exchanges and never pieces: pieces tried for each piece that may leave, pieces of
+#: a bin whose pairs are tried, emptiest bins that give two pieces.
+PROBES = 6
+PAIRED = 40
+GIVERS = 12
 
 
 def pieces_of(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -105,13 +110,13 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int = CAP
                     continue
                 own = bins[k]
                 gives: list[tuple[int, tuple[int, ...]]] = [(0, ())] + [(size[i], (i,)) for i in own]
-                if len(own) <= 40:
+                if len(own) <= PAIRED:
                     gives += [(size[i] + size[j], (i, j)) for x, i in enumerate(own) for j in own[x + 1 :]]
                 best = (0, None)
                 for out, items in gives:
                     # The largest piece elsewhere that fits when out leaves; a swap must make this bin fuller.
                     at = bisect.bisect_right(where, (out + room, len(bins), 0)) - 1
-                    for probe in range(at, max(-1, at - 6), -1):
+                    for probe in range(at, max(-1, at - PROBES), -1):
                         n, other, i = where[probe]
                         d = n - out
                         if d <= 0:
@@ -124,9 +129,9 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int = CAP
                         break
                 # Two small pieces of one emptier bin for one or none of this one's.
                 for out, items in gives[: 1 + len(own)]:
-                    for other in part[-12:]:
+                    for other in part[-GIVERS:]:
                         theirs = bins[other]
-                        if other == k or len(theirs) < 2 or len(theirs) > 40:
+                        if other == k or len(theirs) < 2 or len(theirs) > PAIRED:
                             continue
                         for x, i in enumerate(theirs):
                             for j in theirs[x + 1 :]:
@@ -226,7 +231,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         groups = -(-n // GROUP)
         last = groups == 1 or k == ROUNDS - 1
         dealt = rest.withColumn("group", F.pmod(F.xxhash64(F.lit(k), "doc_id", "piece", "uid"), F.lit(groups)).cast("int"))
-        packed = dealt.repartition("group").sortWithinPartitions("group", F.col("length").desc(), "doc_id", "piece", "uid").mapInArrow(_pack_sorted(capacity, last), PACKED)
+        # By range, not by hash: few groups would meet in few tasks.
+        packed = dealt.repartitionByRange(groups, "group").sortWithinPartitions("group", F.col("length").desc(), "doc_id", "piece", "uid").mapInArrow(_pack_sorted(capacity, last), PACKED)
         packed = materialize(packed, f"packed-{k}")
         parts.append(packed.where("done").select(*base, "bin", "offset", F.lit(k + 1).alias("round_")))
         if last:
@@ -239,6 +245,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every row of docs."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every row of docs.
+
+    Null and empty texts, and those without tokens, are one piece, the separator; null ids and repeated rows are packed
+    like any other; an empty table gives none.  A text of more than capacity tokens is several pieces, the last shorter.
+    """
     pieces = materialize(pieces_of(docs, path, capacity, id_col, text_col), "pieces")
     return pack(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

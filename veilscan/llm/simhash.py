@@ -46,16 +46,16 @@ def fingerprint(text: bytes, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long), text_key.  One row for each row of docs; null texts count as empty (fp 0)."""
-    frame = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"), text_key(text_col).alias("text_key"))
+    """doc_id, fp (the 64 bits as a signed long), row_key.  One row for each row of docs; null texts count as empty (fp 0)."""
+    frame = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_bytes(text_col).alias("text"), row_key(id_col, text_col).alias("row_key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 fps = np.array([fingerprint(t) for t in part.column(1).to_pylist()], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps), part.column(2)], names=["doc_id", "fp", "text_key"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps), part.column(2)], names=["doc_id", "fp", "row_key"])
 
-    return frame.mapInArrow(run, "doc_id bigint, fp bigint, text_key binary")
+    return frame.mapInArrow(run, "doc_id bigint, fp bigint, row_key binary")
 
 
 def cell(half: Column) -> Column:
@@ -156,12 +156,12 @@ def links(nodes: DataFrame, cell_limit: int = CELL) -> DataFrame:
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp, text_key) of each row of docs, and (fp, least, root) of each fingerprint.
+    """(doc_id, fp, row_key) of each row of docs, and (fp, least, root) of each fingerprint.
 
-    least: (whether the id is null, id, text_key) of its first row; root: the component's smallest fingerprint.
+    least: (whether the id is null, id, row_key) of its first row; root: the component's smallest fingerprint.
     """
     prints = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("least")), "fingerprint-nodes")
+    nodes = materialize(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key")).alias("least")), "fingerprint-nodes")
     roots = connected_components(links(nodes.select("fp")))
     return prints, nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
 
@@ -178,21 +178,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(names, prints.fp == names.named_fp, "left").select("doc_id", "fp", "component_id")
 
 
-def text_key(text_col: str) -> Column:
-    """Equal for equal texts only; a null text has null."""
-    return F.unhex(F.sha2(F.col(text_col).cast("binary"), 256))
+def row_key(id_col: str, text_col: str) -> Column:
+    """Equal for rows of equal id and equal text only, null a value of its own for both."""
+    head = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.when(F.col(text_col).isNull(), ":0").otherwise(":1"))
+    return F.unhex(F.sha2(F.concat(head.cast("binary"), text_bytes(text_col)), 256))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component of near duplicates, with all columns: the one with the smallest id, ties to the smallest text key.
+    """One row of each component of near duplicates, with all columns: the one with the smallest id, ties to the smallest row key.
 
     Rows are told apart by id and text together, so unrelated texts under one id are rows of their own, and null ids are
     ids like any other, after all others.  Of rows alike in id and text one is left.  An empty table gives none.
     """
     _, named = _named(docs, id_col, text_col)
     first = named.groupBy("root").agg(F.min("least").alias("least"))
-    own, kept_id, kept_key = free_names(docs, "own_key_", "kept_id_", "kept_key_")
-    kept = materialize(first.select(F.col("least.doc_id").alias(kept_id), F.col("least.text_key").alias(kept_key)), "kept-rows")
-    keyed = docs.withColumn(own, text_key(text_col))
-    found = keyed.join(kept, F.col(id_col).eqNullSafe(F.col(kept_id)) & F.col(own).eqNullSafe(F.col(kept_key)), "left_semi")
-    return found.dropDuplicates([id_col, own]).select(*docs.columns)
+    own, kept_key = free_names(docs, "own_key_", "kept_key_")
+    kept = materialize(first.select(F.col("least.row_key").alias(kept_key)), "kept-rows")
+    # Joined and deduplicated by the same key, rows are exchanged once.
+    found = docs.withColumn(own, row_key(id_col, text_col)).join(kept, F.col(own) == F.col(kept_key), "left_semi")
+    return found.dropDuplicates([own]).select(*docs.columns)
