@@ -63,7 +63,7 @@ def test_links_of_close_fingerprints(spark):
     fps = {f - (1 << 64) if f >> 63 else f for f in fps}
     nodes = spark.createDataFrame([(f,) for f in fps], "fp bigint")
     want = P.components({f: f % (1 << 64) for f in fps})
-    for limit in (20_000, 4):
+    for limit in (20_000, 30, 4, 1):
         got = {x.node: x.root for x in components.connected_components(simhash.links(nodes, limit)).collect()}
         assert {f: got.get(f, f) for f in fps} == want
 

@@ -31,9 +31,9 @@ from .common import map_texts, slices, text_bytes
 
 #: Entries that a worker of Codec keeps of each of its two tables between slices; a full one is begun anew.
 KEPT_WORDS, KEPT_PIECES = 500_000, 400_000
-#: Text of a block, and of a bucket on average; partitions for each block; places of documents, and words, in one row.
+#: Text of a block, and of a bucket on average; the least number of buckets, partitions for each; places of documents, and words, in one row.
 BLOCK_BYTES = 32 << 20
-SPREAD = 4
+LEAST_BUCKETS, SPREAD = 8, 4
 ROW_PLACES, ROW_WORDS = 1 << 18, 4096
 #: How the tokenizer cuts normalised text (fixed by its file).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -367,7 +367,7 @@ def encode_by_words(docs: DataFrame, path: str | None = None, id_col: str = "doc
     path = path or default_tokenizer()
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_bytes(text_col)))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
+    buckets = max(LEAST_BUCKETS, -(-size // BLOCK_BYTES))
     dealt = blocks(docs, buckets, id_col, text_col).repartition(SPREAD * buckets, "route")
     words = with_pieces(distinct_words(dealt, path), pieces(spark, path))
     back = dealt.groupBy("route").cogroup(words.groupBy("route")).applyInArrow(_give_back, BACK)

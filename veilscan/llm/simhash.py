@@ -4,7 +4,7 @@ Fingerprints: 64-bit SimHash over word shingles.  Links: fingerprints at few dif
 embedding of a fingerprint as popcounts of its 32 two-bit segments: the Manhattan distance of two embeddings is never
 over the Hamming distance.  A distance of at most 3 leaves at most 1 to one of the two halves of 16 segments, so the
 grid with cells of one lattice point is joined within Manhattan radius 1, half by half.  What the grid brings together
-is verified exactly.  Inside a cell a breadth-first search over the unvisited yields a spanning forest, never all pairs.
+is verified exactly; cells that hold too many are joined again on quarters.  Inside a cell a breadth-first search over the unvisited yields a spanning forest, never all pairs.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ SEED = 42
 MAX_BITS = 3
 #: Hashes whose bits are counted at a time.
 CHUNK = 1 << 16
-#: Fingerprints of one cell that are compared in one group; larger cells are dealt out as pairs of blocks.
+#: Fingerprints of one cell that are compared in one group; larger cells are dealt again, and then as pairs of blocks.
 CELL = 20_000
 SEGMENTS = 16
 
@@ -141,18 +141,40 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(*(np.concatenate([h[i] for h in held]) for i in range(3)))
 
 
+def finer(rows: DataFrame) -> DataFrame:
+    """cell_key, sub, home, fp: rows of hot cells dealt again by the other half of the fingerprint.
+
+    Where one half differs by at most 1, the other differs by at most 3, so one of its quarters does by at most 1: each
+    row goes to its cell of either quarter and to those one step above.  Two rows that meet need not be home there.
+    """
+    other = cell(F.when(F.col("cell_key") % 2 == 0, _half(F.col("fp"), 1)).otherwise(_half(F.col("fp"), 0)))
+    subs = []
+    for quarter in (0, 1):
+        own = F.shiftrightunsigned(other, SEGMENTS * quarter).bitwiseAND(F.lit((1 << SEGMENTS) - 1))
+        steps = [F.when(F.shiftrightunsigned(own, 2 * k).bitwiseAND(F.lit(3)) < 2, own + F.lit(1 << 2 * k)) for k in range(SEGMENTS // 2)]
+        subs += [x * 2 + quarter for x in (own, *steps)]
+    return rows.select("cell_key", F.explode(F.filter(F.array(*subs), lambda x: x.isNotNull())).alias("sub"), F.lit(True).alias("home"), "fp")
+
+
 def links(nodes: DataFrame, cell_limit: int = CELL) -> DataFrame:
     """u, v: links among distinct fingerprints (column fp) that connect all that any links connect.
 
-    Cells over cell_limit rows are cut into blocks and every pair of blocks is its own group, so no cell is one task's.
+    Cells over cell_limit rows are dealt again by the other half, into cells that are thousands of times smaller; such as
+    are still over it are cut into blocks and every pair of blocks is its own group, so no cell is one task's.
     """
     rows = grid_rows(nodes)
-    hot = rows.groupBy("cell_key").agg(F.count("*").alias("n")).where(F.col("n") > cell_limit).select(F.col("cell_key").alias("hot_key"), F.ceil(F.col("n") / (cell_limit // 2)).alias("blocks"))
-    rows = rows.join(hot, rows.cell_key == hot.hot_key, "left").select("cell_key", "home", "fp", F.coalesce("blocks", F.lit(1)).cast("bigint").alias("blocks"))
-    mine = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    others = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda o: F.least(mine, o) * F.col("blocks") + F.greatest(mine, o))
-    rows = rows.select("cell_key", F.explode(others).alias("block"), "home", "fp")
-    return rows.repartition("cell_key", "block").sortWithinPartitions("cell_key", "block").mapInArrow(_forests, "u bigint, v bigint")
+    hot = materialize(rows.groupBy("cell_key").agg(F.count("*").alias("n")).where(F.col("n") > cell_limit).select(F.col("cell_key").alias("hot_key")), "hot-cells")
+    if hot.isEmpty():
+        grouped = rows.select("cell_key", F.lit(0).cast("bigint").alias("block"), "home", "fp")
+    else:
+        cool = rows.join(hot, rows.cell_key == hot.hot_key, "left_anti").select("cell_key", F.lit(-1).cast("bigint").alias("sub"), "home", "fp")
+        every = materialize(cool.unionByName(finer(rows.join(hot, rows.cell_key == hot.hot_key, "left_semi"))), "grid")
+        large = every.groupBy("cell_key", "sub").agg(F.count("*").alias("n")).where(F.col("n") > cell_limit).select(F.col("cell_key").alias("large_key"), F.col("sub").alias("large_sub"), F.ceil(F.col("n") / max(1, cell_limit // 2)).alias("blocks"))
+        rows = every.join(large, (F.col("cell_key") == F.col("large_key")) & (F.col("sub") == F.col("large_sub")), "left").select("cell_key", "sub", "home", "fp", F.coalesce("blocks", F.lit(1)).cast("bigint").alias("blocks"))
+        mine = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+        others = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda o: F.least(mine, o) * F.col("blocks") + F.greatest(mine, o))
+        grouped = rows.select("cell_key", "sub", F.explode(others).alias("pair"), "home", "fp").select("cell_key", ((F.col("sub") + 1) * (1 << 40) + F.col("pair")).alias("block"), "home", "fp")
+    return grouped.repartition("cell_key", "block").sortWithinPartitions("cell_key", "block").mapInArrow(_forests, "u bigint, v bigint")
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
