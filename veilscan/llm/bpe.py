@@ -15,31 +15,26 @@ Blocks and buckets have about BLOCK_BYTES of text each, so their number grows wi
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, slices, text_bytes
+from .common import slices, text_bytes
 
-#: Entries that a worker of Codec keeps of each of its two tables between slices; a full one is begun anew.
-KEPT_WORDS, KEPT_PIECES = 500_000, 400_000
+#: Words whose ids a worker keeps between slices: a young and an old half, the old one goes when the young one is full.
+KEPT_WORDS = 400_000
+#: Text that is encoded at a time where it lies.
+ENCODED_BYTES = 24 << 20
 #: Text of a block, and of a bucket on average; the least number of buckets, partitions for each; places of documents, and words, in one row.
 BLOCK_BYTES = 32 << 20
 LEAST_BUCKETS, SPREAD = 8, 4
 ROW_PLACES, ROW_WORDS = 1 << 18, 4096
-#: How the tokenizer cuts normalised text (fixed by its file).
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-#: Words of which lower-casing and normalisation are the same everywhere.
-PLAIN = re.compile("[!-~À-įı-ɏ]+")
-
 _codecs: dict[str, Codec] = {}
 
 
@@ -57,7 +52,7 @@ def codec(path: str) -> Codec:
 
 
 class Codec:
-    """Encodes words (bytes without ASCII white space) to little-endian unsigned 32-bit ids, each word once while it is kept."""
+    """Encodes words (without ASCII white space), whose ids, put together, are a text's."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,83 +61,63 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.ends = np.zeros(size, bool)
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            self.ends[i] = token.endswith("</w>")
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
-
-    def split(self, text: bytes) -> list[bytes]:
-        """Words whose encodings, put together, are the text's.  Special tokens are lower case, so texts with `<|` keep their case."""
-        return text.split() if b"<|" in text else text.lower().split()
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.stops = {mark: self.ids([mark])[0] for mark in (",", ".")}
 
     def ids(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _whole(self, words: list[str]) -> list[bytes]:
-        return [np.array(i, "<u4").tobytes() for i in self.ids(words)]
-
-    def _learn_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """Encode pieces in one go: between blanks, each ends with the only token that ends a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(pieces).decode()], add_special_tokens=False)[0].ids, "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(pieces):
-            return dict(zip(pieces, self._whole([p.decode() for p in pieces]), strict=True))
-        raw, at = ids.tobytes(), [0, *(stops * 4).tolist()]
-        return {p: raw[a:b] for p, a, b in zip(pieces, at, at[1:], strict=False)}
-
-    def _cut(self, word: bytes) -> tuple[bytes, ...] | None:
-        """The tokenizer's pieces of a word, lower-cased; None where only the tokenizer itself knows."""
-        if word.isalpha():
-            return (word.lower(),)
-        if word[-1:] in (b",", b".") and word[:-1].isalpha():
-            return word[:-1].lower(), word[-1:]
-        if b"<|" in word or not PLAIN.fullmatch(s := word.decode()):
-            return None
-        s = s.lower()
-        if s.isalpha():
-            return (s.encode(),)
-        return tuple(p.encode() for p in PIECES.findall(s))
-
-    def learn(self, words: set[bytes]) -> None:
-        """Afterwards self.words has all words."""
-        missing = words.difference(self.words)
-        if not missing:
-            return
-        if len(self.words) + len(missing) > KEPT_WORDS:
-            self.words, missing = {}, words
-        cuts, odd, wanted = [], [], set()
-        for w in missing:
-            cut = self._cut(w)
-            if cut is None:
-                odd.append(w)
-            else:
-                cuts.append((w, cut))
-                wanted.update(cut)
-        new = wanted.difference(self.pieces)
-        if len(self.pieces) + len(new) > KEPT_PIECES:
-            self.pieces, new = {}, wanted
-        new = list(new)
-        for i in range(0, len(new), 20_000):
-            self.pieces |= self._learn_pieces(new[i : i + 20_000])
-        known = self.pieces
-        for w, cut in cuts:
-            self.words[w] = known[cut[0]] if len(cut) == 1 else b"".join([known[p] for p in cut])
-        for i in range(0, len(odd), 1000):
-            some = odd[i : i + 1000]
-            self.words |= zip(some, self._whole([w.decode() for w in some]), strict=True)
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text, as bytes."""
-        cut = [self.split(t) for t in texts]
-        seen: set[bytes] = set()
-        for words in cut:
-            seen.update(words)
-        self.learn(seen)
-        known = self.words.__getitem__
-        for words in cut:
-            yield b"".join(map(known, words))
+    def _kept(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, as bytes; those that were met lately are not encoded again."""
+        new = [w for w in words if w not in self.young and w not in self.old]
+        fresh = dict(zip(new, (np.array(i, "<u4").tobytes() for i in self.ids(new)), strict=True))
+        out = [self.young[w] if w in self.young else self.old[w] if w in self.old else fresh[w] for w in words]
+        self.young.update(zip(words, out, strict=True))
+        if len(self.young) > KEPT_WORDS:
+            self.old, self.young = self.young, {}
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ends of the texts (from 0) in the ids of all, and those ids.  Distinct words are encoded once."""
+        texts = texts.cast(pa.large_string())
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)  # special tokens alone tell cases apart
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        words, places = coded.dictionary, coded.indices.to_numpy()
+        # A letter word before a comma or a full stop is the word and the mark.
+        last, head = pc.utf8_slice_codeunits(words, -1), pc.utf8_slice_codeunits(words, 0, -1)
+        marked = pc.and_(pc.is_in(last, pa.array(list(self.stops), pa.large_string())), pc.ascii_is_alpha(head))
+        base = pc.if_else(marked, head, words).dictionary_encode()
+        raw = self._kept(base.dictionary.to_pylist())
+        of, flat = base.indices.to_numpy(), np.frombuffer(b"".join(raw), "<u4")
+        each = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        marked = marked.to_numpy(zero_copy_only=False)
+        size = each[of] + marked
+        starts = np.cumsum(size) - size
+        ids = np.empty(int(size.sum()), np.uint32)
+        ids[_ranges(starts, each[of])] = flat[_ranges((np.cumsum(each) - each)[of], each[of])]
+        stops = np.array([self.stops[m][0] for m in last.filter(pa.array(marked)).to_pylist()], np.uint32)
+        ids[(starts + size - 1)[marked]] = stops
+        size, starts = size[places], starts[places]
+        ends = np.r_[0, np.cumsum(size)][cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return ends, ids[_ranges(starts, size)]
+
+
+def encoded(docs: DataFrame, path: str, work, shape: pa.Schema, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """work(ids, ends, token ids) -> record batch for slices of docs where they lie, no shuffle; null texts are empty."""
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    frame = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1, ENCODED_BYTES):
+                yield work(part.column(0), *codec(path).encode(part.column(1)))
+
+    return frame.mapInArrow(run, from_arrow_schema(shape))
 
 
 #: Rows of a block (route: the block): which of its words each of its numbers is, then its documents as such numbers; and
@@ -377,7 +352,7 @@ def encode_by_words(docs: DataFrame, path: str | None = None, id_col: str = "doc
 def piece_table(path: str) -> list[str]:
     """Pieces by id, added tokens included; as many as the tokenizer file has, whatever the corpus."""
     t = codec(path).tokenizer
-    return [t.id_to_token(i) or "" for i in range(len(codec(path).ends))]
+    return [t.id_to_token(i) or "" for i in range(codec(path).size)]
 
 
 def pieces(spark, path: str | None = None) -> DataFrame:
@@ -386,18 +361,18 @@ def pieces(spark, path: str | None = None) -> DataFrame:
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids (array of int) of each whole text."""
-    path = path or default_tokenizer()
+    """doc_id, ids (array of int) of each whole text, encoded where it lies; null texts have none."""
+    shape = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
-    def work(ids: list, texts: list) -> dict:
-        return {"doc_id": ids, "ids": [np.frombuffer(b, "<u4").astype(np.int32) for b in codec(path).encode(texts)]}
+    def work(own: pa.Array, ends: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([own, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))], schema=shape)
 
-    return map_texts(docs, work, "doc_id bigint, ids array<int>", id_col, text_col)
+    return encoded(docs, path or default_tokenizer(), work, shape, id_col, text_col)
 
 
-def decode(encoded: DataFrame, table: DataFrame) -> DataFrame:
+def decode(coded: DataFrame, table: DataFrame) -> DataFrame:
     """key (unique), ids -> key, text: each place's id joined with its piece (the vocabulary is broadcast: its size is the file's)."""
-    places = encoded.select("key", F.posexplode("ids").alias("place_", "id_"))
+    places = coded.select("key", F.posexplode("ids").alias("place_", "id_"))
     named = places.join(F.broadcast(table), F.col("id_") == F.col("id"))
     texts = named.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place_", "piece"))), lambda x: x["piece"]), " ").alias("text"))
-    return encoded.select(F.col("key").alias("key_")).join(texts, F.col("key_") == F.col("key"), "left").select(F.col("key_").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    return coded.select(F.col("key").alias("key_")).join(texts, F.col("key_") == F.col("key"), "left").select(F.col("key_").alias("key"), F.coalesce("text", F.lit("")).alias("text"))

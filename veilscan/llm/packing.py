@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import codec, default_tokenizer
-from .common import map_texts, materialize
+from .bpe import default_tokenizer, encoded
+from .common import materialize
 
 CAPACITY = 4096
 SEPARATOR = 1
@@ -42,21 +42,22 @@ def pieces_of(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY
     uid tells repeated rows apart; null and empty texts are the separator alone.
     """
     path = path or default_tokenizer()
-    tail = np.array([SEPARATOR], "<u4").tobytes()
-
-    def work(ids: list, texts: list) -> dict:
-        out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        step = 4 * capacity
-        for i, b in zip(ids, codec(path).encode(texts), strict=True):
-            b += tail
-            for k, at in enumerate(range(0, len(b), step)):
-                part = b[at : at + step]
-                for name, value in zip(out, (i, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                    out[name].append(value)
-        return out
-
-    made = map_texts(docs, work, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint", id_col, text_col)
-    return made.withColumn("uid", F.monotonically_increasing_id())
+    step = 4 * capacity
+    shape = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+
+    def work(own: pa.Array, ends: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        out: list[tuple] = []
+        raw, tail = memoryview(ids.astype("<u4").view(np.uint8)), np.array([SEPARATOR], "<u4").tobytes()
+        for i, a, b in zip(own.to_pylist(), (ends * 4).tolist(), (ends[1:] * 4).tolist(), strict=False):
+            for k, at in enumerate(range(a, b + 1, step)):  # the separator is one more
+                part = raw[at : min(at + step, b)]
+                crc, size = zlib.crc32(part), len(part)
+                if at + step > b:
+                    crc, size = zlib.crc32(tail, crc), size + 4
+                out.append((i, k, (at - a) // 4, size // 4, crc))
+        return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], f.type) for k, f in enumerate(shape)], schema=shape)
+
+    return encoded(docs, path, work, shape, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
 
 
 def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> list[list[int]]:
