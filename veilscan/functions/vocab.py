@@ -14,6 +14,8 @@ WEAK = ("address", "birth_place", "health", "religion", "political_views", "nati
 LEGAL = ("inn_legal", "bik", "bank_account")
 HIGH_IMPACT = (*DIRECT, "bank_card", "cvv", *SPECIAL_RISK)
 BENIGN = ("full_name", "phone", "email", "address", "inn_legal", "bik", "bank_account")
+#: Categories that keep a public policy from being discounted.
+STRICT = ("passport_rf", "foreign_id_document", "snils", "inn_person", "bank_card", "cvv", "mrz")
 REQUISITES = ("address", "phone", "email", "inn_legal", "bik", "bank_account")
 SENSITIVE_TABLE = ("passport_rf", "foreign_id_document", "snils", "inn", "inn_person", "driver_license", "mrz", "bank_card", "bank_account", "bik", "cvv", "biometric", "health", "religion", "political_views", "nationality", "race")
 IDENTIFIER_TABLE = ("full_name", "passport_rf", "foreign_id_document", "snils", "inn", "inn_person", "phone", "email", "address", "birth_date", "bank_card")

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import names, validators
 from ..functions import vocab as V
-from ..functions.text import any_of, before, fence, found, line_of, located, present, unique_trimmed, unmarked, window
+from ..functions.text import any_of, before, found, line_of, located, present, settled, unique_trimmed, unmarked, window
 
 FINDING = "struct<count:int,samples_masked:array<string>>"
 STRINGS = "array<string>"
@@ -209,7 +209,7 @@ def detect(files: DataFrame, text_col: str = "text", path_col: str = "relative_p
     stats = [(k, _stats(F.size(a), F.size(b)), F.size(a) > 0) for k, a, b in checked]
     signals = F.struct((F.size("passports_") > 0).alias("passport_context"), F.col("foreign_").isNotNull().alias("foreign_document"), F.size(F.array_distinct(F.transform("ok_name", names.person_key))).alias("unique_persons"))
     maps = {"categories": _filled_map(entries, f"map<string,{FINDING}>"), "validation": _filled_map(stats, "map<string,struct<candidates:int,valid:int,rejected:int>>"), "signals": signals}
-    return step.select(*kept, *(fence(c).alias(k) for k, c in maps.items()))
+    return settled(step.select(*kept, *(c.alias(k) for k, c in maps.items())))
 
 
 def _merge(samples: Column, first: Column) -> Column:

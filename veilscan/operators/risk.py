@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab as V
-from ..functions.text import any_of, fence
+from ..functions.text import any_of, settled
 from .features import has, kinds, only
 
 TABLE = "struct<status:string,rows_with_pii:int,rows_with_sensitive_pii:int,rows_with_sensitive_combo:int,pii_row_ratio:double,combo_row_ratio:double,sensitive_column_count:int>"
@@ -170,14 +170,12 @@ def storage_rules() -> list[Rule]:
 
 def legitimacy_rules(content: Column) -> list[Rule]:
     kind, combo = F.col("document_type"), _t("rows_with_sensitive_combo") > 0
-    harmless = ("address", "phone", "email", "inn_legal", "bik", "bank_account", "full_name")
-    strict = ("passport_rf", "foreign_id_document", "snils", "inn_person", "bank_card", "cvv", "mrz")
     return [
         *first_of(
-            Rule((kind == V.POLICY) & ~combo & only(harmless), 8, "Public policy/terms with only contact or legal-entity data (-8 legitimate context)"),
-            Rule((kind == V.POLICY) & ~combo & ~has(*strict), 10, "Public policy/terms context lowers weak special-category mentions (-10 legitimate context)"),
+            Rule((kind == V.POLICY) & ~combo & only(V.BENIGN), 8, "Public policy/terms with only contact or legal-entity data (-8 legitimate context)"),
+            Rule((kind == V.POLICY) & ~combo & ~has(*V.STRICT), 10, "Public policy/terms context lowers weak special-category mentions (-10 legitimate context)"),
         ),
-        Rule((kind == V.ADMISSION) & ~combo & (F.col("weak_health") | only(("health", *harmless))), 8, "Public admission/regulatory document with weak PII mentions (-8 legitimate context)"),
+        Rule((kind == V.ADMISSION) & ~combo & (F.col("weak_health") | only(("health", *V.BENIGN))), 8, "Public admission/regulatory document with weak PII mentions (-8 legitimate context)"),
         Rule(F.col("weak_special"), 8, "Special-category words without a concrete person anchor (-8 legitimate context)"),
         Rule(any_of(content, V.BUSINESS_WORDS) & ~has("bank_card", "cvv", "mrz", "health", "biometric", "inn_person"), 4, "Formal business context without personal high-impact identifiers (-4 legitimate context)"),
         Rule(kind.isin(V.INVOICE, V.ACT, V.WAYBILL, V.CONTRACT, V.ORDER) & only(V.BENIGN), 5, "Likely legitimate business document with benign/legal-entity categories (-5 legitimate context)"),
@@ -235,6 +233,7 @@ def assess(featured: DataFrame, text_col: str = "text", path_col: str = "relativ
     A column table_analysis (see operators.tables) is used where there is one; rows without have null in it.
     """
     kept = featured.columns
+    featured = settled(featured)
     step = featured if "table_analysis" in kept else featured.withColumn("table_analysis", F.lit(None).cast(TABLE))
     text, path = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(path_col), F.lit(""))
     read = F.lit(False) if ocr is None else F.coalesce(ocr, F.lit(False))
@@ -271,4 +270,4 @@ def assess(featured: DataFrame, text_col: str = "text", path_col: str = "relativ
         }
     )
     made = ["document_type", "sensitivity_score", "massiveness_score", "context_score", "legitimacy_discount", "risk_score", "risk_level", "include_in_report", "reasons", "recommendation"]
-    return step.select(*kept, *(fence(F.col(c)).alias(c) for c in made))
+    return settled(step.select(*kept, *made))

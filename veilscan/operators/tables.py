@@ -43,11 +43,11 @@ def row_probes(rows: DataFrame) -> DataFrame:
     return detailed.where("line_ != ''").select(*FILE, "sheet", "row_no", F.concat(F.lit("ROW "), F.col("row_no").cast("string"), F.lit(": "), F.col("line_")).alias("text"))
 
 
-def _names(probes: DataFrame) -> DataFrame:
-    """Probes in which something is found, with what; written, as several summaries read it."""
-    kept = [c for c in probes.columns if c != "text"]
-    found = detect(probes).select(*kept, F.array_sort(F.map_keys("categories")).alias("names"))
-    return written(found, "probes").where(F.size("names") > 0)
+def probed(rows: DataFrame) -> DataFrame:
+    """FILE, names, and sheet and row_no of a row or column of a column, of all probes in which something is found; written, as summaries read it again and again."""
+    probes = row_probes(rows).unionByName(column_probes(rows), allowMissingColumns=True)
+    found = detect(probes).select(*FILE, "sheet", "row_no", "column", F.array_sort(F.map_keys("categories")).alias("names"))
+    return written(found.where(F.size("names") > 0), "probes")
 
 
 def _within(names: Column, of: tuple[str, ...]) -> Column:
@@ -60,16 +60,16 @@ def sensitive_combo(names: Column) -> Column:
     return (F.array_contains(names, "full_name") & (sensitive > 0)) | (sensitive >= 2) | (F.size(_within(names, V.IDENTIFIER_TABLE)) >= 3)
 
 
-def row_categories(rows: DataFrame) -> DataFrame:
-    """FILE, sheet, row_no, names, sensitive, combo (identifiers joined by +, or null) of rows in which something is found."""
-    found = _names(row_probes(rows)).select(*FILE, "sheet", "row_no", "names")
+def row_categories(found: DataFrame) -> DataFrame:
+    """FILE, sheet, row_no, names, sensitive, combo (identifiers joined by +, or null) of rows in which something is found (see probed)."""
+    rows = found.where("row_no is not null").select(*FILE, "sheet", "row_no", "names")
     both = F.array_join(F.array_sort(_within(F.col("names"), V.IDENTIFIER_TABLE)), "+")
-    return found.withColumns({"sensitive": F.size(_within(F.col("names"), V.SENSITIVE_TABLE)) > 0, "is_combo": sensitive_combo(F.col("names")), "combo": F.when(sensitive_combo(F.col("names")) & (both != ""), both)})
+    return rows.withColumns({"sensitive": F.size(_within(F.col("names"), V.SENSITIVE_TABLE)) > 0, "is_combo": sensitive_combo(F.col("names")), "combo": F.when(sensitive_combo(F.col("names")) & (both != ""), both)})
 
 
-def column_categories(rows: DataFrame) -> DataFrame:
-    """FILE, column, names of columns in which something is found."""
-    return _names(column_probes(rows)).select(*FILE, "column", "names")
+def column_categories(found: DataFrame) -> DataFrame:
+    """FILE, column, names of columns in which something is found (see probed)."""
+    return found.where("column is not null").select(*FILE, "column", "names")
 
 
 def combos(rows: DataFrame, top: int = TOP_COMBOS) -> DataFrame:
@@ -88,12 +88,13 @@ def summarise(table_rows: DataFrame, max_rows: int = 50_000) -> DataFrame:
     sheets = kept.groupBy("relative_path", "sheet").agg(F.max("row_no").alias("n"), F.coalesce(F.max(F.size("cells")), F.lit(0)).alias("c"))
     problems = kept.groupBy("relative_path").agg(F.max("problem").alias("problem")) if "problem" in kept.columns else None
     shape = sheets.groupBy("relative_path").agg(F.sum("n").cast("int").alias("rows_analyzed"), F.sum("c").cast("int").alias("columns_total"), F.array_sort(F.collect_set("sheet")).alias("sheets"), F.sum(F.least("n", F.lit(ROW_DETAIL))).cast("int").alias("detail"))
-    rows = row_categories(kept)
+    probes = probed(kept)
+    rows = row_categories(probes)
     per_row = rows.groupBy("relative_path").agg(F.count("*").cast("int").alias("rows_with_pii"), F.count_if("sensitive").cast("int").alias("rows_with_sensitive_pii"), F.count_if("is_combo").cast("int").alias("rows_with_sensitive_combo"))
     by_category = rows.select("relative_path", F.explode("names").alias("category")).groupBy("relative_path", "category").count()
     by_category = by_category.groupBy("relative_path").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "count")))).alias("category_row_counts"))
     ranked = combos(rows).groupBy("relative_path").agg(F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("place", "combo", "rows"))), lambda x: F.struct(x["combo"], x["rows"]))).alias("row_combinations"))
-    found = column_categories(kept).select("relative_path", "column", F.explode("names").alias("category"))
+    found = column_categories(probes).select("relative_path", "column", F.explode("names").alias("category"))
     listed = found.groupBy("relative_path", "category").agg(F.slice(F.array_sort(F.collect_set("column")), 1, TOP_COLUMNS).alias("columns"))
     columns = listed.groupBy("relative_path").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "columns")))).alias("pii_columns"), F.sum(F.size("columns")).cast("int").alias("pii_column_count"))
     private = found.where(F.col("category").isin(*V.SENSITIVE_TABLE, *V.IDENTIFIER_TABLE)).groupBy("relative_path").agg(F.slice(F.array_sort(F.collect_set("column")), 1, TOP_SENSITIVE).alias("sensitive_columns"))

@@ -535,12 +535,12 @@ def table_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT relative_path, category, count(*) AS rows FROM (SELECT relative_path, 'full_name' AS category FROM ({CELL_ROWS}) c WHERE has_name UNION ALL SELECT relative_path, 'inn_legal' FROM ({CELL_ROWS}) c WHERE has_inn UNION ALL SELECT relative_path, 'email' FROM ({CELL_ROWS}) c WHERE has_email) u GROUP BY 1, 2""")
 def table_row_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.row_categories(_cells(spark, sf_dir)).select("relative_path", F.explode("names").alias("category")).groupBy("relative_path", "category").agg(F.count("*").alias("rows"))
+    return tables.row_categories(tables.probed(_cells(spark, sf_dir))).select("relative_path", F.explode("names").alias("category")).groupBy("relative_path", "category").agg(F.count("*").alias("rows"))
 
 
 @query(f"SELECT DISTINCT relative_path, \"column\", category FROM (SELECT relative_path, 'csv:person' AS \"column\", 'full_name' AS category FROM ({CELL_ROWS}) c WHERE has_name UNION ALL SELECT relative_path, 'csv:inn', 'inn_legal' FROM ({CELL_ROWS}) c WHERE has_inn UNION ALL SELECT relative_path, 'csv:contact', 'email' FROM ({CELL_ROWS}) c WHERE has_email) u")
 def table_col_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.column_categories(_cells(spark, sf_dir)).select("relative_path", "column", F.explode("names").alias("category"))
+    return tables.column_categories(tables.probed(_cells(spark, sf_dir))).select("relative_path", "column", F.explode("names").alias("category"))
 
 
 def _combo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

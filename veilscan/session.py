@@ -34,7 +34,7 @@ def ship(spark: SparkSession) -> None:
 
 def local_session(name: str = "veilscan", cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session with the settings that tests and the bench use."""
-    settings = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.ui.enabled": "false", "spark.driver.memory": memory, "spark.ui.showConsoleProgress": "false"}
+    settings = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.ui.enabled": "false", "spark.driver.memory": memory, "spark.ui.showConsoleProgress": "false", "spark.python.sql.dataFrameDebugging.enabled": "false"}
     spark = SparkSession.builder.master(f"local[{cores}]").appName(name).config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
