@@ -9,6 +9,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +96,26 @@ def test_bpe_is_the_librarys(spark, docs, empty, monkeypatch, block):
     assert {r.doc_id: r.ids for r in bpe.encode(docs).collect()} == want
 
 
+def test_bpe_in_many_slices(spark, docs, monkeypatch):
+    """Batches that are cut into slices give what whole ones do, in blocks and where texts lie."""
+    monkeypatch.setattr(bpe, "CUT_BYTES", 300)
+    monkeypatch.setattr(bpe, "ENCODED_BYTES", 300)
+    t = bpe.codec(bpe.default_tokenizer()).tokenizer
+    want = {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(TEXTS)}
+    one = docs.coalesce(1)
+    assert {r.doc_id: r.ids for r in bpe.encode_by_words(one).collect()} == want == {r.doc_id: r.ids for r in bpe.encode(one).collect()}
+
+
+def test_slices_of_arrays_encode_alike():
+    texts = [t or "" for t in TEXTS if t is None or "<|" not in t] + ["Final, words. Here"] * 5
+    c = bpe.codec(bpe.default_tokenizer())
+    for kind in (pa.string(), pa.large_string()):
+        array = pa.array(texts, kind)
+        for at in (0, 1, 5, len(texts) - 3):
+            ends, ids = c.encode(array.slice(at))
+            assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [c.tokenizer.encode(t, add_special_tokens=False).ids for t in texts[at:]]
+
+
 def test_bpe_query(spark, docs, tmp_path):
     from veilscan.llm import queries
 

@@ -31,6 +31,8 @@ from .common import slices, text_bytes
 KEPT_WORDS = 400_000
 #: Text that is encoded at a time where it lies.
 ENCODED_BYTES = 24 << 20
+#: Text that is cut into words at a time, for blocks.
+CUT_BYTES = 8 << 20
 #: Text of a block, and of a bucket on average; the least number of buckets, partitions for each; places of documents, and words, in one row.
 BLOCK_BYTES = 32 << 20
 LEAST_BUCKETS, SPREAD = 8, 4
@@ -51,6 +53,11 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
+def _unsliced(texts: pa.Array) -> pa.Array:
+    """texts as an array of its own: Arrow's functions on ASCII misread the offsets of slices."""
+    return texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts))))
+
+
 class Codec:
     """Encodes words (without ASCII white space), whose ids, put together, are a text's."""
 
@@ -81,7 +88,7 @@ class Codec:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ends of the texts (from 0) in the ids of all, and those ids.  Distinct words are encoded once."""
-        texts = texts.cast(pa.large_string())
+        texts = _unsliced(texts)
         if not pc.any(pc.match_substring(texts, "<|")).as_py():
             texts = pc.ascii_lower(texts)  # special tokens alone tell cases apart
         cut = pc.ascii_split_whitespace(texts)
@@ -176,7 +183,7 @@ class Block:
         self.words: list[pa.Array] = []
 
     def add(self, ids: pa.Array, texts: pa.Array) -> None:
-        cut = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        cut = pc.ascii_split_whitespace(_unsliced(texts))
         flat, there = cut.flatten(), None
         there = pc.greater(pc.binary_length(flat), 0)  # blanks at the ends of a text leave empty words
         before = np.r_[0, np.cumsum(there.to_numpy(zero_copy_only=False))]
@@ -225,7 +232,7 @@ def blocks(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str
         number = TaskContext.get().partitionId() << 32
         block = Block(number)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, CUT_BYTES):
                 if block.ids and block.size + part.column(1).nbytes > BLOCK_BYTES:
                     yield from block.rows(buckets)
                     number += 1
