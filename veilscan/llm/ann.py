@@ -38,8 +38,8 @@ DEGREE, BEAM = 24, 24
 #: Classes of a list that one task fits or cuts at a time; vectors of a piece that its centroids are fitted on.
 PART = 4096
 FITTED = 32
-#: Classes of each query that are scored by their original vectors.
-REFINED = 16
+#: Classes of each query that are scored by their original vectors; classes beyond k and the query's own that a list gives.
+REFINED, SPARE = 16, 2
 #: Scale of codes: components of unit vectors to two bytes.
 SCALE = 32_767
 #: Bytes of vectors in a partition.
@@ -429,11 +429,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
         postings, probes = in_pieces(materialize(postings, "posting-lists"), probes, lists)
     else:
         postings, probes = postings.withColumnRenamed("part", "piece"), probes.withColumnRenamed("part", "piece")
-    read = probes.groupBy("list", "piece").cogroup(postings.groupBy("list", "piece")).applyInArrow(_ranked(REFINED), "qid bigint, scores array<float>, found array<bigint>")
+    read = probes.groupBy("list", "piece").cogroup(postings.groupBy("list", "piece")).applyInArrow(_ranked(k + 1 + SPARE), "qid bigint, scores array<float>, found array<bigint>")
     pairs = F.transform(F.arrays_zip("scores", "found"), lambda x: F.struct((-x["scores"]).alias("minus"), x["found"].alias("h")))
     # A class is on several lists, at most so many times among a query's first.
-    best = F.slice(F.array_sort(F.flatten(F.collect_list("pairs"))), 1, REFINED * COPIES * 2)
-    first = read.select("qid", pairs.alias("pairs")).groupBy("qid").agg(F.slice(F.array_distinct(F.transform(best, lambda x: x["h"])), 1, REFINED).alias("hs"))
+    refined = max(REFINED, k + 1 + SPARE)
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("pairs"))), 1, refined * COPIES * 2)
+    first = read.select("qid", pairs.alias("pairs")).groupBy("qid").agg(F.slice(F.array_distinct(F.transform(best, lambda x: x["h"])), 1, refined).alias("hs"))
     wanted = first.join(qs.select(F.col("qid").alias("of_"), F.col("vec").alias("qvec")), F.col("qid") == F.col("of_")).select("qid", "qvec", F.explode("hs").alias("wanted"))
     fetched = wanted.join(own, F.col("wanted") == F.col("h")).select("qid", "qvec", "vec", "ids").mapInArrow(_exact(kind), "qid bigint, score double, ids array<bigint>")
     near = fetched.select("qid", F.transform("ids", lambda i: F.struct((-F.col("score")).alias("minus"), i.alias("vec_id"))).alias("pairs"))
