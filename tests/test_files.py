@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import json
+import sys
+import types
 import zipfile
 
 from pyspark.sql import functions as F
@@ -85,6 +87,251 @@ def test_scan_and_run(spark, tmp_path):
     assert json.loads((out / "reports/final_report.json").read_text(encoding="utf-8"))["stats"] == {"total_files": 2, "processed_files": 1, "skipped_files": 1, "error_files": 0}
 
 
+def test_every_file_is_a_row(spark, tmp_path):
+    """Hidden and empty files, odd names, folders that are hidden: each has its row, and pending ones are read."""
+    root = tmp_path / "in"
+    (root / ".git" / "_x").mkdir(parents=True)
+    (root / "a b").mkdir()
+    names = {".hidden.txt": "a@b.ru", "_under.txt": "a@b.ru", "empty.txt": "", "a b/[odd] {x}*?; isDirectory.txt": "a@b.ru", ".git/_x/deep.log": "a@b.ru", "_k=v.txt": "a@b.ru", ".txt": "x", "UPPER.TXT": "a@b.ru", "~$lock.txt": "x", ".env": "x"}
+    for name, text in names.items():
+        (root / name).write_text(text, encoding="utf-8")
+    rows = {r.relative_path: r for r in files.scan(spark, str(root)).collect()}
+    assert set(rows) == set(names)
+    assert {n for n, r in rows.items() if r.status == "skipped"} == {".txt", "~$lock.txt", ".env"} and rows["empty.txt"].size_bytes == 0
+    scored, outcomes, _ = pipeline.full(spark, str(root))
+    assert {r.relative_path: bool(r.categories) for r in scored.collect()} == {n: bool(names[n]) for n, r in rows.items() if r.status == "pending"}
+    assert outcomes.count() == len(names)
+    wanted = spark.createDataFrame([("a b/[odd] {x}*?; isDirectory.txt",), ("_under.txt",), ("gone.txt",)], "relative_path string")
+    scored, outcomes, lost = pipeline.full(spark, str(root), wanted)
+    assert {r.relative_path for r in scored.collect()} == {"a b/[odd] {x}*?; isDirectory.txt", "_under.txt"} and outcomes.count() == 2 and lost.count() == 1
+
+
+def test_skipped_files_stay_closed(spark, tmp_path):
+    """A skipped file may be over the reader's own limit."""
+    root = tmp_path / "in"
+    root.mkdir()
+    (root / "big.exe").write_bytes(b"x" * 1000)
+    (root / "big.txt").write_bytes(b"x" * 1000)
+    (root / "small.txt").write_bytes(b"a@b.ru")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "200")
+    try:
+        scored, outcomes, _ = pipeline.full(spark, str(root), limit_mb=0.0005)
+        assert [r.relative_path for r in scored.collect()] == ["small.txt"]
+        assert sorted(r.bucket for r in outcomes.collect()) == ["processed", "skipped", "skipped"]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_stuck_file_is_an_error(monkeypatch):
+    def stuck(data, **_):
+        while True:
+            pass
+
+    monkeypatch.setitem(X.READERS, ".txt", stuck)
+    got = X.extract(b"x", ".txt", timeout=0.2)
+    assert got.status == "error" and got.warnings == ["file processing timed out after 0.2s"]
+    monkeypatch.setitem(X.READERS, ".txt", X.plain)
+    assert X.extract(b"x", ".txt", timeout=0.2).text == "x"
+
+
+def test_files_of_each_row_and_both_passes(spark, tmp_path):
+    root, out = tree(tmp_path), tmp_path / "run"
+    assert cli.main(["--input-dir", str(root), "--run-dir", str(out), "--file-timeout", "60", "--pdf-workers", "2"]) == 0
+    first = json.loads((out / "parsed/reports/final_report.json").read_text(encoding="utf-8"))
+    item = first["items"][0]
+    assert "+7 (999) 123-45-67" in open(item["extracted_text_path"], encoding="utf-8").read()
+    found = json.load(open(item["pii_findings_path"], encoding="utf-8"))
+    assert found["relative_path"] == "личное/a.txt" and found["categories"]["phone"]["count"] == 1 and found["features"]["unique_persons"] == 1
+    final = json.loads((out / "final/reports/final_report.json").read_text(encoding="utf-8"))
+    assert [i["relative_path"] for i in final["items"]] == ["личное/a.txt"] and final["stats"]["processed_files"] == 2
+    assert (out / "final/leaked_paths.txt").read_text(encoding="utf-8") == "/личное/a.txt\n"
+    # The second pass alone, over the files of texts.
+    assert cli.main(["--input-dir", str(root), "--output-dir", str(out / "again"), "--texts-dir", str(out / "parsed/extracted_texts")]) == 0
+    assert (out / "again/leaked_paths.txt").read_text(encoding="utf-8") == "/личное/a.txt\n"
+    assert cli.main(["--input-dir", str(root), "--output-dir", str(out / "tables"), "--tables-only"]) == 0
+    assert not (out / "tables/extracted_texts").exists() and spark.read.parquet(str(out / "tables/tables/extracted_texts")).count() == 2
+    assert cli.main(["--input-dir", str(root / "b.csv"), "--output-dir", str(out)]) == 2
+
+
+class _Module(types.ModuleType):
+    """A stand-in for a library that isn't installed here."""
+
+    def __init__(self, name, **parts):
+        super().__init__(name)
+        self.__dict__.update(parts)
+
+
+class _Picture:
+    size, mode = (10, 20), "L"
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        return False
+
+
+def _ocr(known):
+    def image_to_string(picture, lang=None, config=""):
+        if lang is not None and lang not in known:
+            raise RuntimeError(lang)
+        return f"text in {lang}"
+
+    return _Module("pytesseract", image_to_string=image_to_string)
+
+
+def test_recognition_where_it_is_installed(monkeypatch):
+    monkeypatch.setitem(sys.modules, "PIL", _Module("PIL", Image=_Module("PIL.Image", open=lambda data: _Picture())))
+    for known, text, language, warned in ((("rus+eng",), "text in rus+eng", "rus+eng", 0), (("eng",), "text in eng", "eng", 2), ((), "text in None", "default", 4)):
+        monkeypatch.setitem(sys.modules, "pytesseract", _ocr(known))
+        got = X.extract(b"x", ".png", use_ocr=True)
+        assert (got.text, got.metadata["ocr_language"], got.metadata["ocr_used"], len(got.warnings)) == (text, language, "true", warned)
+    assert X.extract(b"x", ".png").warnings == ["OCR disabled"]
+    monkeypatch.setitem(sys.modules, "pytesseract", None)
+    assert X.extract(b"x", ".png", use_ocr=True).warnings[0].startswith("OCR unavailable")
+
+
+def test_pdf_readers_in_turn(monkeypatch):
+    class Page:
+        def __init__(self, text):
+            self.text = text
+
+        def extract_text(self):
+            return self.text
+
+        def render(self, scale):
+            return types.SimpleNamespace(to_pil=lambda: self.text)
+
+    class Book:
+        def __init__(self, pages):
+            self.pages = [Page(p) for p in pages]
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+        def __len__(self):
+            return len(self.pages)
+
+        def __getitem__(self, k):
+            return self.pages[k]
+
+    monkeypatch.setitem(sys.modules, "pdfplumber", _Module("pdfplumber", open=lambda data: Book(["one", "two"])))
+    got = X.extract(b"x", ".pdf")
+    assert (got.text, got.metadata) == ("one\n\ntwo", {"extractor": "pdfplumber", "pages": "2"})
+    monkeypatch.setitem(sys.modules, "pdfplumber", _Module("pdfplumber", open=lambda data: Book([" "])))
+    monkeypatch.setitem(sys.modules, "pypdf", _Module("pypdf", PdfReader=lambda data: Book(["by pypdf"])))
+    assert X.extract(b"x", ".pdf").metadata["extractor"] == "pypdf"
+    monkeypatch.setitem(sys.modules, "pypdf", _Module("pypdf", PdfReader=lambda data: Book([""])))
+    got = X.extract(b"x", ".pdf", use_ocr=False)
+    assert got.text == "" and got.metadata["possible_scanned_pdf"] == "true"
+    monkeypatch.setitem(sys.modules, "pypdfium2", _Module("pypdfium2", PdfDocument=lambda data: Book(["a", "b"])))
+    monkeypatch.setitem(sys.modules, "pytesseract", _ocr(("rus",)))
+    got = X.extract(b"x", ".pdf", use_ocr=True)
+    assert got.text == "text in rus\n\ntext in rus" and got.metadata["ocr_used"] == "true" and len(got.warnings) == 2
+
+
+def test_converter_and_old_formats(monkeypatch):
+    document = types.SimpleNamespace(export_to_markdown=lambda: "# by converter")
+    made = []
+
+    class Converter:
+        def __init__(self):
+            made.append(self)
+
+        def convert(self, path):
+            assert open(path, "rb").read() in (b"x", b"<p>y</p>")
+            return types.SimpleNamespace(document=document)
+
+    monkeypatch.setattr(X, "_converters", [])
+    assert X.extract(b"<p>y</p>", ".html").warnings[0].startswith("docling: Docling unavailable")
+    monkeypatch.setitem(sys.modules, "docling", _Module("docling"))
+    monkeypatch.setitem(sys.modules, "docling.document_converter", _Module("docling.document_converter", DocumentConverter=Converter))
+    assert X.extract(b"x", ".docx").text == "# by converter" == X.extract(b"<p>y</p>", ".html").text and len(made) == 1
+    assert X.extract(b"x", ".txt").text == "x"
+    document.export_to_markdown = lambda: ""
+    assert X.extract(b"<p>y</p>", ".html").text == "y"
+    monkeypatch.setitem(sys.modules, "textract", _Module("textract", process=lambda path: "слово".encode()))
+    assert (X.extract(b"x", ".doc").text, X.extract(b"x", ".doc").metadata["extractor"]) == ("слово", "textract-doc")
+    monkeypatch.setitem(sys.modules, "textract", None)
+    monkeypatch.setattr(X.subprocess, "run", lambda *a, **k: types.SimpleNamespace(returncode=0, stdout="Ïðèâåò".encode(), stderr=b""))
+    assert X.extract(b"x", ".doc").text == "Привет"
+    import pandas as pd
+
+    monkeypatch.setattr(pd, "read_excel", lambda *a, **k: {"S": pd.DataFrame([["a", None], ["b", "c"]])})
+    assert X.extract(b"x", ".xls").text == "SHEET: S\na | None\nb | c" and X.table_frames(b"x", ".xls") == {"S": (["0", "1"], [["a", ""], ["b", "c"]])}
+
+
+def test_frames_of_videos(monkeypatch, tmp_path):
+    """Frames are grabbed, scored, cut into regions and read; the best readings make the text."""
+
+    class Frame:
+        def __init__(self, width=400, height=200):
+            self.width, self.height, self.size = width, height, (width, height)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return False
+
+        def convert(self, mode):
+            return self
+
+        def crop(self, box):
+            return Frame(box[2] - box[0], box[3] - box[1])
+
+        def resize(self, size):
+            return Frame(*size)
+
+        def filter(self, kind):
+            return self
+
+        def histogram(self):
+            return [1] * 256
+
+        def enhance(self, factor):
+            return self
+
+    same = lambda picture: picture
+    pil = _Module("PIL", Image=_Module("Image", open=lambda path: Frame()), ImageEnhance=_Module("E", Contrast=same, Sharpness=same), ImageFilter=_Module("F", FIND_EDGES=1), ImageOps=_Module("O", grayscale=same))
+    said = lambda picture, lang=None, config="": f"Frame of width {picture.width} read in {lang} letters"
+    monkeypatch.setitem(sys.modules, "PIL", pil)
+    monkeypatch.setitem(sys.modules, "pytesseract", _Module("pytesseract", image_to_string=said))
+    monkeypatch.setitem(sys.modules, "cv2", None)
+    monkeypatch.delitem(sys.modules, "veilscan.sources.frames", raising=False)
+    monkeypatch.setattr(X.shutil, "which", lambda name: f"/bin/{name}")
+
+    def tool(command, **_):
+        if command[0] == "ffprobe":
+            return types.SimpleNamespace(returncode=0, stdout="2.6\n", stderr="")
+        if command[-1].endswith("3.png"):
+            return types.SimpleNamespace(returncode=1, stdout="", stderr="no frame")
+        open(command[-1], "wb").close()
+        return types.SimpleNamespace(returncode=0, stdout="", stderr="")
+
+    monkeypatch.setattr(X.subprocess, "run", tool)
+    got = X.extract(b"video", ".mp4", use_ocr=True)
+    assert got.status == "ok" and got.metadata["frames_extracted"] == "4" and got.metadata["frames_ocr_attempted"] == "4" and got.warnings == ["frame 3: no frame"]
+    assert got.text.startswith("[frame_0001; rus+eng; full/enhanced_gray --oem 3 --psm 6; score=") and got.metadata["ocr_used"] == "true" and got.text.count("[frame_") <= 5
+    monkeypatch.setattr(X.shutil, "which", lambda name: None)
+    assert X.extract(b"video", ".mp4", use_ocr=True).warnings == ["ffmpeg unavailable for video frame extraction"] and X.extract(b"video", ".mp4").warnings == ["Video OCR disabled"]
+    monkeypatch.delitem(sys.modules, "veilscan.sources.frames", raising=False)
+
+
+def test_boxes_and_snippets_are_alike_on_both_sides(spark):
+    """Spark's versions and those for one frame or video agree."""
+    shapes = [(w, h, d) for w in (50, 81, 300, 1000) for h in (60, 100, 299, 900) for d in (None, (-5, 3, w + 9, h - 1), (0, 0, w, h))]
+    for w, h, d in shapes[::5]:
+        box = F.array(*map(F.lit, d)) if d else None
+        got = spark.range(1).select(video.regions(F.lit(w), F.lit(h), box).alias("x")).first().x
+        assert [(b.name, tuple(b.box)) for b in got] == video.bands(w, h, d), (w, h, d)
+    texts = ["short", "A longer text of words number 1", "a LONGER text, of words number 1!", "another text of 12 words\nand lines 77", "*** ??? !!! ~~~ ^^^ &&& ((( )))", "\u0130stanbul words and digits 123 here"]
+    assert [r.s for r in spark.createDataFrame([(t,) for t in texts], "t string").select(quality.ocr_score(F.col("t")).alias("s")).collect()] == [video.text_score(t) for t in texts]
+
+
 def test_full_pass_analyses_tables(spark, tmp_path):
     """Tables of every kind reach the row, column and combination rules by way of scanned files."""
     import pandas as pd
