@@ -25,12 +25,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import give_back, slices, text_bytes
 
 #: Words whose ids a worker keeps between slices: a young and an old half, the old one goes when the young one is full.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 #: Text that is encoded at a time where it lies.
-ENCODED_BYTES = 24 << 20
+ENCODED_BYTES = 16 << 20
 #: Text that is cut into words at a time, for blocks.
 CUT_BYTES = 8 << 20
 #: Text of a block, and of a bucket on average; the least number of buckets, partitions for each; places of documents, and words, in one row.
@@ -123,6 +123,7 @@ def encoded(docs: DataFrame, path: str, work, shape: pa.Schema, id_col: str = "d
         for batch in batches:
             for part in slices(batch, 1, ENCODED_BYTES):
                 yield work(part.column(0), *codec(path).encode(part.column(1)))
+        give_back()
 
     return frame.mapInArrow(run, from_arrow_schema(shape))
 
@@ -169,8 +170,12 @@ def _strings(blob: bytes, n: int) -> pa.Array:
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all ranges, one range after another."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    n = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if n < 1 << 31 and (not n or int(starts.max()) + int(sizes.max()) < 1 << 31) else np.int64
+    out = np.arange(n, dtype=kind)
+    out += np.repeat((starts - (ends - sizes)).astype(kind), sizes)
+    return out
 
 
 class Block:
@@ -240,6 +245,7 @@ def blocks(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str
                 block.add(part.column(0), part.column(1))
         if block.ids:
             yield from block.rows(buckets)
+        give_back()
 
     return frame.mapInArrow(run, ROW)
 
@@ -313,6 +319,7 @@ def _put_together(key: tuple, rows: pa.Table, lists: pa.Table) -> pa.Table:
     """A block: ids and texts of its words in order, then documents by number."""
     if key[0].as_py() < 0 or not rows.num_rows:
         return ARROW_DONE.empty_table()
+    give_back()
     sizes, flat, texts = [np.empty(0, np.uint32)], [np.empty(0, np.uint32)], []
     for row in sorted(lists.to_pylist(), key=lambda r: r["start"]):
         sizes.append(_numbers(row["sizes"]))

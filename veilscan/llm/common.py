@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import dropped, shared_dir, written
 
-__all__ = ["arrow_schema", "dropped", "free_names", "keep_rows", "map_texts", "materialize", "shared_dir", "slices", "split_rule", "text_bytes"]
+__all__ = ["arrow_schema", "dropped", "free_names", "give_back", "keep_rows", "map_texts", "materialize", "shared_dir", "slices", "split_rule", "text_bytes"]
 
 #: Texts are handed to Python code in slices of at most so many bytes (a longer text is a slice of its own).
 SLICE_BYTES = 8 << 20
@@ -33,6 +35,13 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a partition: the worker lives on, beside others of its executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_bytes(text_col: str = "text") -> Column:
     """The whole text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(text_col).cast("binary"), F.lit(b"").cast("binary"))
@@ -60,6 +69,7 @@ def map_texts(docs: DataFrame, work: Callable[[list, list], dict], schema: str,
             for part in slices(batch, 1):
                 out = work(part.column(0).to_pylist(), part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        give_back()
 
     return frame.mapInArrow(run, schema)
 
@@ -88,5 +98,6 @@ def keep_rows(docs: DataFrame, keep: Callable[[list], list], text_col: str = "te
             for part in slices(batch.append_column(own, texts), batch.num_columns):
                 mask = keep([t or b"" for t in part.column(part.num_columns - 1).to_pylist()])
                 yield part.select(list(range(part.num_columns - 1))).filter(pa.array(mask, pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

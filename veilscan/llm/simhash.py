@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, materialize, slices, text_bytes
+from .common import free_names, give_back, materialize, slices, text_bytes
 from .components import connected_components
 
 SEED = 42
@@ -54,6 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for part in slices(batch, 1):
                 fps = np.array([fingerprint(t) for t in part.column(1).to_pylist()], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps), part.column(2)], names=["doc_id", "fp", "row_key"])
+        give_back()
 
     return frame.mapInArrow(run, "doc_id bigint, fp bigint, row_key binary")
 
