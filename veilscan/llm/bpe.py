@@ -91,8 +91,10 @@ class Codec:
         texts = _unsliced(texts)
         if not pc.any(pc.match_substring(texts, "<|")).as_py():
             texts = pc.ascii_lower(texts)  # special tokens alone tell cases apart
+        kind = np.int32 if texts.nbytes < 1 << 31 else np.int64  # a token has a byte at least
         cut = pc.ascii_split_whitespace(texts)
-        coded = cut.flatten().dictionary_encode()
+        offsets, coded = cut.offsets.to_numpy() - cut.offsets[0].as_py(), cut.flatten().dictionary_encode()
+        del cut, texts
         words, places = coded.dictionary, coded.indices.to_numpy()
         # A letter word before a comma or a full stop is the word and the mark.
         last, head = pc.utf8_slice_codeunits(words, -1), pc.utf8_slice_codeunits(words, 0, -1)
@@ -100,17 +102,16 @@ class Codec:
         base = pc.if_else(marked, head, words).dictionary_encode()
         raw = self._kept(base.dictionary.to_pylist())
         of, flat = base.indices.to_numpy(), np.frombuffer(b"".join(raw), "<u4")
-        each = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        each = np.fromiter(map(len, raw), kind, len(raw)) // 4
         marked = marked.to_numpy(zero_copy_only=False)
         size = each[of] + marked
-        starts = np.cumsum(size) - size
-        ids = np.empty(int(size.sum()), np.uint32)
-        ids[_ranges(starts, each[of])] = flat[_ranges((np.cumsum(each) - each)[of], each[of])]
-        stops = np.array([self.stops[m][0] for m in last.filter(pa.array(marked)).to_pylist()], np.uint32)
-        ids[(starts + size - 1)[marked]] = stops
-        size, starts = size[places], starts[places]
-        ends = np.r_[0, np.cumsum(size)][cut.offsets.to_numpy() - cut.offsets[0].as_py()]
-        return ends, ids[_ranges(starts, size)]
+        starts = np.cumsum(size, dtype=kind) - size
+        ids = np.empty(int(size.sum(dtype=np.int64)), np.uint32)
+        ids[_ranges(starts, each[of])] = flat[_ranges((np.cumsum(each, dtype=kind) - each)[of], each[of])]
+        ids[(starts + size - 1)[marked]] = np.array([self.stops[m][0] for m in last.filter(pa.array(marked)).to_pylist()], np.uint32)
+        size = size[places]
+        ends = np.r_[0, np.cumsum(size, dtype=np.int64)][offsets]
+        return ends, ids[_ranges(starts[places], size)]
 
 
 def encoded(docs: DataFrame, path: str, work, shape: pa.Schema, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
