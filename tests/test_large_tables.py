@@ -19,3 +19,7 @@ def agrees(spark, name: str, folder: str) -> bool:
 
 def test_rows_beyond_the_detail_of_a_scan_are_read(spark, tmp_path):
     assert agrees(spark, "table_row_pii", customers(spark, tmp_path, 5003))
+
+
+def test_summary_beyond_the_detail_of_a_scan(spark, tmp_path):
+    assert agrees(spark, "table_summary", customers(spark, tmp_path, 5003))

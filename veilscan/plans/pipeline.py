@@ -42,7 +42,7 @@ def full(spark: SparkSession, root: str, include: DataFrame | None = None, limit
     texts = written(source.read_texts(source.contents(spark, root, listed, **reach), use_ocr, max_rows, timeout), "texts")
     rows = written(source.table_rows(source.contents(spark, root, listed, TABLES, **reach), max_rows, timeout), "table-rows")
     good = texts.where("extract_status = 'ok'").withColumn("ord", F.col("path"))
-    scored = score(good, table_ops.summarise(rows, max_rows), F.coalesce(F.element_at("metadata", "ocr_used") == "true", F.lit(False)))
+    scored = score(good, table_ops.summarise(rows, max_rows, table_ops.ROW_DETAIL), F.coalesce(F.element_at("metadata", "ocr_used") == "true", F.lit(False)))
     skipped = listed.where("status <> 'pending'").select("path", F.lit("skipped").alias("bucket"), F.lit("scan").alias("stage"), F.col("error").alias("message"))
     read = texts.select("path", F.when(F.col("extract_status") == "ok", "processed").otherwise(F.col("extract_status")).alias("bucket"), F.lit("process").alias("stage"), F.array_join("warnings", "; ").alias("message"))
     return written(scored, "scored"), skipped.unionByName(read), lost
