@@ -23,3 +23,7 @@ def test_rows_beyond_the_detail_of_a_scan_are_read(spark, tmp_path):
 
 def test_summary_beyond_the_detail_of_a_scan(spark, tmp_path):
     assert agrees(spark, "table_summary", customers(spark, tmp_path, 5003))
+
+
+def test_summary_beyond_the_rows_of_a_scan(spark, tmp_path):
+    assert agrees(spark, "table_private", customers(spark, tmp_path, 50_003))
