@@ -27,3 +27,11 @@ def test_summary_beyond_the_detail_of_a_scan(spark, tmp_path):
 
 def test_summary_beyond_the_rows_of_a_scan(spark, tmp_path):
     assert agrees(spark, "table_private", customers(spark, tmp_path, 50_003))
+
+
+def tasks(df) -> int:
+    return df.rdd.getNumPartitions()
+
+
+def test_texts_of_one_small_file_are_scored_in_many_tasks(spark):
+    assert tasks(queries.people(spark, "/root/testdata/sf0.001")) >= spark.sparkContext.defaultParallelism > 1
