@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle import compared
 
+from veilscan import cases as C
 from veilscan import queries
 
 
@@ -35,3 +36,7 @@ def tasks(df) -> int:
 
 def test_texts_of_one_small_file_are_scored_in_many_tasks(spark):
     assert tasks(queries.people(spark, "/root/testdata/sf0.001")) >= spark.sparkContext.defaultParallelism > 1
+
+
+def test_cases_of_one_small_file_are_scored_in_many_tasks(spark):
+    assert tasks(queries._cases(spark, "/root/testdata/sf0.001", C.RISKS)) >= spark.sparkContext.defaultParallelism
