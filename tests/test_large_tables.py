@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from oracle import compared
+from pyspark.sql import functions as F
 
 from veilscan import cases as C
 from veilscan import queries
+from veilscan.operators import video
 
 
 def customers(spark, folder, n: int, nations: int = 1) -> str:
@@ -40,3 +42,15 @@ def test_texts_of_one_small_file_are_scored_in_many_tasks(spark):
 
 def test_cases_of_one_small_file_are_scored_in_many_tasks(spark):
     assert tasks(queries._cases(spark, "/root/testdata/sf0.001", C.RISKS)) >= spark.sparkContext.defaultParallelism
+
+
+def test_regions_of_one_small_file_are_made_in_many_tasks(spark):
+    assert tasks(queries.frame_regions(spark, "/root/testdata/sf0.001")) >= spark.sparkContext.defaultParallelism
+
+
+def test_regions_agree_with_those_of_one_frame(spark):
+    shapes = [(w, h, d) for w in (79, 80, 100, 640, 1999) for h in (79, 80, 101, 640, 1100) for d in (None, (-5, -5, w + 5, 300), (0, 0, 9999, 9999), (10, 10, 50, 50))]
+    rows = spark.createDataFrame(shapes, "w int, h int, d array<int>")
+    got = rows.select("w", "h", "d", video.regions(F.col("w"), F.col("h"), F.col("d")).alias("r")).collect()
+    for r in got:
+        assert [(b.name, tuple(b.box)) for b in r.r] == video.bands(r.w, r.h, r.d), r

@@ -65,9 +65,10 @@ def regions(width: Column, height: Column, document: Column | None = None) -> Co
     boxes = F.concat(F.array(box("full", F.lit(0), F.lit(0), width, height)), F.when(height >= width, banded(UPRIGHT)).otherwise(banded(WIDE)))
     if document is not None:
         found = box("detected_document_1", F.greatest(F.lit(0), document[0]), F.greatest(F.lit(0), document[1]), F.least(width, document[2]), F.least(height, document[3]))
-        boxes = F.concat(boxes, F.when(document.isNotNull(), F.array(found)).otherwise(F.filter(boxes, lambda _: F.lit(False))))
+        boxes = F.concat(boxes, F.filter(F.array(F.when(document.isNotNull(), found)), lambda b: b.isNotNull()))
     large = F.filter(boxes, lambda b: (b["box"][2] - b["box"][0] >= LEAST_SIDE) & (b["box"][3] - b["box"][1] >= LEAST_SIDE))
-    return F.filter(large, lambda b, i: F.array_position(F.transform(large, lambda o: o["box"]), b["box"]) == i + 1)
+    # A fold, as a lambda that names the boxes makes all of them again for each box.
+    return F.aggregate(large, F.slice(boxes, 1, 0), lambda kept, b: F.when(F.exists(kept, lambda o: o["box"] == b["box"]), kept).otherwise(F.array_append(kept, b)))
 
 
 def bands(width: int, height: int, document: tuple[int, int, int, int] | None = None) -> list[tuple[str, tuple[int, int, int, int]]]:
