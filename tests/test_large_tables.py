@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import plain_core as P
 from oracle import compared
 from pyspark.sql import functions as F
 
 from veilscan import cases as C
 from veilscan import queries
+from veilscan.functions import text
+from veilscan.functions import vocab as V
 from veilscan.operators import video
 
 
@@ -54,3 +57,12 @@ def test_regions_agree_with_those_of_one_frame(spark):
     got = rows.select("w", "h", "d", video.regions(F.col("w"), F.col("h"), F.col("d")).alias("r")).collect()
     for r in got:
         assert [(b.name, tuple(b.box)) for b in r.r] == video.bands(r.w, r.h, r.d), r
+
+
+def test_lost_ligatures_take_a_few_replacements_a_text(spark):
+    """Not three for each of the 41 words; all words get their letters back in the case they have."""
+    words = [w for bad in V.LOST_LIGATURES for w in (bad, bad.upper(), bad.capitalize(), bad[0] + bad[1:].upper(), f"x{bad}", f"{bad}-{bad}")]
+    texts = [(i, f"nd, {w}. {words[i * 7 % len(words)]} Nds\tNDING  {w}x \0") for i, w in enumerate(words)]
+    df = spark.createDataFrame(texts, "i int, t string").select("i", text.normalize(F.col("t")).alias("t"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") < 20
+    assert {r.i: r.t for r in df.collect()} == {i: P.normalized(t) for i, t in texts}
