@@ -11,6 +11,7 @@ from veilscan import queries
 from veilscan.functions import text
 from veilscan.functions import vocab as V
 from veilscan.operators import video
+from veilscan.sources.files import html_text
 
 
 def customers(spark, folder, n: int, nations: int = 1) -> str:
@@ -66,3 +67,12 @@ def test_lost_ligatures_take_a_few_replacements_a_text(spark):
     df = spark.createDataFrame(texts, "i int, t string").select("i", text.normalize(F.col("t")).alias("t"))
     assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") < 20
     assert {r.i: r.t for r in df.collect()} == {i: P.normalized(t) for i, t in texts}
+
+
+def test_pages_go_to_python_in_small_batches(spark):
+    """Arrow's batches have ten thousand pages of any size, which a worker holds together."""
+    pages = spark.createDataFrame([(0, "<p>a<script>b</script></p>"), (1, None)], "i int, html string")
+    df = pages.select("i", html_text("html").alias("t"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert {r.i: r.t for r in df.collect()} == {0: "a", 1: None}
